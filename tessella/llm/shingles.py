@@ -48,10 +48,15 @@ def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blank = np.concatenate([[True], _BLANK[buffer], [True]])
     edge = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edge[::2], edge[1::2]
+    return starts, span_hashes(buffer, starts, ends)
+
+
+def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes [start, end): equal bytes, wherever they stand, have equal hashes."""
     power, inverse = _power_tables(len(buffer) + 1)
     total = np.zeros(len(buffer) + 1, np.uint64)
     np.cumsum(_BYTE[buffer] * power[: len(buffer)], out=total[1:])
-    return starts, mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:

@@ -7,8 +7,8 @@ A folder holds, for each part k of the ascending doc_id order,
 and index.json with each part's counts and its base, the prefix sum of the tokens of all parts before it.
 
 Texts are encoded by the tokenizers library. Its normaliser and pre-tokeniser never join across ASCII white space, so
-that each run of other bytes is encoded once and remembered (at most MEMO runs a worker; further ones are encoded
-without being kept); runs that hold a special token's string are encoded alone.
+that each distinct run of other bytes, by 64-bit hash, is encoded once a batch and remembered (the first MEMO runs of a
+worker). Runs of letters share a call, where each must come back as one pre-token; all others are encoded alone.
 
 Every part is written under a name of its attempt and renamed when whole: a lost executor's task is simply run again.
 Defined results: null texts are empty and have the end id only; rows that repeat a doc_id are ordered by their ids;
@@ -29,17 +29,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.llm.shingles import span_hashes
+
 END_ID = 1
-MEMO = 500_000
+MEMO = 400_000
+BATCH = 2 << 20
 #: Documents aimed at for a part, and the most parts a folder gets.
 PART_DOCS, MOST_PARTS = 16_384, 4_096
+BLANK, STOP, LETTER = (np.isin(np.arange(256), list(x)) for x in (b"\t\n\x0b\x0c\r ", b".,", b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
-    """Encodes whole texts to bytes of ids, remembering runs between ASCII white space."""
+    """Encodes whole texts to arrays of ids; each distinct run of a batch goes through the tokenizer once."""
 
     def __init__(self, path: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -49,44 +53,100 @@ class Encoder:
         size = max(self.tokenizer.get_vocab_size(), end_id + 1)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        special = sorted((k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items())
-        self.strings = [content.encode() for _, content in special]
-        #: A special token between runs tells where the next one begins.
-        self.mark = next(((k, c) for k, c in special if not any(ch.isspace() for ch in c)), None)
-        self.memo: dict[bytes, bytes] = {}
+        #: Ids that end a pre-token.
+        self.last = np.zeros(size, bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.last[k] = token.endswith("</w>")
+        # Remembered runs: sorted hashes, and where their ids are in flat.
+        self.keys = np.zeros(0, np.uint64)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, self.dtype)
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def learn(self, runs: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of runs that aren't remembered."""
-        plain = [r for r in runs if self.mark and not any(s in r for s in self.strings)]
-        out = {r: np.array(self.ids(r.decode()), self.dtype).tobytes() for r in set(runs).difference(plain)}
-        for a in range(0, len(plain), 4096):
-            part = plain[a : a + 4096]
-            flat = np.array(self.ids(self.mark[1].join(r.decode() for r in part)), np.int64)
-            at = np.flatnonzero(flat == self.mark[0])
-            if len(at) != len(part) - 1:
-                out |= {r: np.array(self.ids(r.decode()), self.dtype).tobytes() for r in part}
-                continue
-            cells = flat.astype(self.dtype)
-            for r, i, j in zip(part, [0, *(at + 1).tolist()], [*at.tolist(), len(cells)], strict=True):
-                out[r] = cells[i:j].tobytes()
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [text.encode().split() if text else [] for text in texts]
-        memo = self.memo
-        new = list({r for runs in split for r in runs if r not in memo})
-        extra: dict[bytes, bytes] = {}
-        if new:
-            extra = self.learn(new)
-            if len(memo) + len(extra) <= MEMO:
-                memo.update(extra)
-                extra = {}
-        if extra:
-            return [b"".join([memo[r] if r in memo else extra[r] for r in runs]) + self.end for runs in split]
-        return [b"".join([memo[r] for r in runs]) + self.end for runs in split]
+    def learn(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all runs one after the other, number of ids of each)."""
+        flats, sizes = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for a in range(0, len(runs), 2048):
+            part = [r.decode() for r in runs[a : a + 2048]]
+            words = all(map(str.isalpha, part))
+            flat = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64) if words else None
+            ends = np.flatnonzero(self.last[flat]) + 1 if words else None
+            if words and len(ends) == len(part):  # every run is one pre-token, as each has at least one
+                flats.append(flat.astype(self.dtype))
+                sizes.append(np.diff(ends, prepend=0))
+            else:
+                each = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                flats.append(np.array([k for ids in each for k in ids], self.dtype))
+                sizes.append(np.array([len(ids) for ids in each], np.int64))
+        return np.concatenate(flats), np.concatenate(sizes)
+
+    def lookup(self, hashes: np.ndarray, runs_at) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(at, size, flat) of distinct hashes; runs_at gives the bytes of those at some positions."""
+        place = np.searchsorted(self.keys, hashes)
+        place[place == len(self.keys)] = 0
+        hit = self.keys[place] == hashes if len(self.keys) else np.zeros(len(hashes), bool)
+        new = np.flatnonzero(~hit)
+        runs = runs_at(new)
+        # Words first: they share calls.
+        other = np.array([not (r if r.isascii() else r.decode()).isalpha() for r in runs], bool)
+        order = np.argsort(other, kind="stable")
+        words = len(runs) - int(other.sum())
+        new, runs = new[order], [runs[k] for k in order]
+        made = [self.learn(runs[:words]), self.learn(runs[words:])]
+        flat, sizes = np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
+        starts = np.cumsum(sizes) - sizes + len(self.flat)
+        at, size = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+        at[hit], size[hit] = self.at[place[hit]], self.size[place[hit]]
+        at[new], size[new] = starts, sizes
+        both = np.concatenate([self.flat, flat])
+        if len(self.keys) + len(new) <= MEMO:
+            keys = np.concatenate([self.keys, hashes[new]])
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.at, self.size = keys[order], np.concatenate([self.at, starts])[order], np.concatenate([self.size, sizes])[order]
+            self.flat = both
+        return at, size, both
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text and the end id, in order."""
+        batch: list[bytes] = []
+        held = 0
+        for text in texts:
+            raw = text.encode() if text else b""
+            if batch and held + len(raw) > BATCH:
+                yield from self._encode(batch)
+                batch, held = [], 0
+            batch.append(raw)
+            held += len(raw) + 1
+        if batch:
+            yield from self._encode(batch)
+
+    def _encode(self, batch: list[bytes]) -> Iterator[bytes]:
+        joined = b"\n".join(batch)
+        starts, ends, hashes = runs_of(np.frombuffer(joined, np.uint8))
+        bounds = np.searchsorted(starts, np.cumsum([0, *(len(x) + 1 for x in batch)]))
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        at, size, flat = self.lookup(distinct, lambda which: [joined[i:j] for i, j in zip(starts[first[which]].tolist(), ends[first[which]].tolist(), strict=True)])
+        sizes = size[inverse]
+        after = np.cumsum(sizes)
+        total = int(after[-1]) if len(after) else 0
+        ids = flat[np.repeat(at[inverse] - (after - sizes), sizes) + np.arange(total)]
+        cuts = np.concatenate([[0], after])[bounds].tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield ids[a:b].tobytes() + self.end
+
+
+def runs_of(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and 64-bit hashes of runs between ASCII white space. A single comma or full stop that ends a run
+    after an ASCII letter is a run of its own, as it is a pre-token of its own."""
+    blank = np.concatenate([[True], BLANK[buffer], [True]])
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edge[::2], edge[1::2]
+    tail = ends - 1
+    apart = tail[(tail > starts) & STOP[buffer[tail]] & LETTER[buffer[tail - 1]]] if len(ends) else tail
+    starts, ends = np.sort(np.concatenate([starts, apart])), np.sort(np.concatenate([ends, apart]))
+    return starts, ends, span_hashes(buffer, starts, ends)
 
 
 def encoder(path: str, end_id: int) -> Encoder:
@@ -109,9 +169,9 @@ def _encode(path: str, end_id: int, bounds: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, cuts = encoder(path, end_id), np.array(bounds, np.int64)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):  # bounds the memory beside the batch
-                part = batch.slice(a, 256)
-                ids = made.encode(part["text"].to_pylist())
+            for a in range(0, batch.num_rows, 1024):  # bounds the memory beside the batch
+                part = batch.slice(a, 1024)
+                ids = list(made.encode(part["text"].to_pylist()))
                 places = np.searchsorted(cuts, part["doc_id"].fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
                 yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), part["doc_id"], pa.array(ids, pa.binary())], names=["part", "doc_id", "ids"])
 
