@@ -58,6 +58,7 @@ def exact_duplicates(docs: DataFrame, hash_of: Callable[[Column], Column] = cont
         numbered = texts.withColumn("variant", F.row_number().over(_by_hash()).cast("long"))
         split = apart.join(numbered, ["hash", "norm"]).select("doc_id", "chars", "hash", F.sha2("norm", 256).alias("text_sha256"), "variant")
         facts = facts.join(colliding, "hash", "left_anti").select("doc_id", "chars", "hash", "text_sha256", "variant").unionByName(split)
+    facts = cut(facts)  # no texts in it; three stages read it
     # The best row has the greatest (chars, not null, -doc_id).
     rank = F.struct(F.col("chars").alias("chars"), F.col("doc_id").isNotNull().cast("int").alias("known"), (-F.coalesce("doc_id", F.lit(0))).alias("minus"))
     grouped = with_group_values(
