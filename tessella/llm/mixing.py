@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessella.llm.common import cut
+
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 BLOCK_WORDS = 64
@@ -105,7 +107,7 @@ def placed(sizes: DataFrame) -> DataFrame:
     inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     local = keyed.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     near = base.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "base")
-    joined = local.join(near, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    joined = local.join(near.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
     return joined.select("doc_id", "source", "size", (F.col("base") + F.col("local")).alias("at"))
 
 
@@ -131,7 +133,7 @@ class Mix:
     def __init__(self, docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = 17, most: int = MOST_PASSES):
         self.spark: SparkSession = docs.sparkSession
         self.block_words, self.seed = block_words, seed
-        self.sizes = sized(docs)
+        self.sizes = cut(sized(docs))  # no texts in it; every relation below starts here
         named = source_totals(self.sizes)
         self.names, self.totals = [s for s, _ in named], [n for _, n in named]
         self.targets = targets(self.totals, weights, most) if named else []
@@ -171,10 +173,11 @@ class Mix:
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target, taken: one row per document."""
         documents = self.documents()
+        # Slots grow with the corpus, which estimates of exploded rows don't show: never broadcast.
         uses = self.slots().groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
-        words = self.pieces(documents).join(uses, ["number", "block"]).groupBy("number", "at").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+        words = self.pieces(documents).join(uses.hint("merge"), ["number", "block"]).groupBy("number", "at").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
         # (number, at) is one document: positions differ between documents that have words.
-        had = documents.where("size > 0").join(words, ["number", "at"], "left")
+        had = documents.where("size > 0").join(words.hint("merge"), ["number", "at"], "left")
         none = documents.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
         every = had.select(*none.columns).unionByName(none)
         return every.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -186,7 +189,7 @@ class Mix:
         white space, joined by a line feed. n_chars, if there is one, follows the text.
         """
         key = ["doc_id", "source", "size"]
-        held = self.pieces(self.documents().where("size > 0")).join(self.slots().select("number", "block", "turn"), ["number", "block"])
+        held = self.pieces(self.documents().where("size > 0")).join(self.slots().select("number", "block", "turn").hint("merge"), ["number", "block"])
         runs = held.groupBy("number", "at", "size", "doc_id", "turn").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("skip", "words"))).alias("runs"))
         plan = runs.groupBy("number", "at", "size", "doc_id").agg(F.sort_array(F.collect_list(F.struct("turn", "words", "runs"))).alias("takes"))
         # Rows that repeat id, source and size are told apart by their order.
@@ -198,7 +201,7 @@ class Mix:
         wanted = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"), F.col("copy").alias("__nth"), F.col("takes").alias("__takes"))
         same = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))) & (F.col("source").eqNullSafe(F.col("__source"))) & (F.col("__size") == F.col("__words")) & (F.col("__copy") == F.col("__nth"))
         names = docs.columns
-        return counted.join(wanted, same).select(*names, "__size", "__takes").mapInArrow(_texts(names), docs.schema)
+        return counted.join(wanted.hint("merge"), same).select(*names, "__size", "__takes").mapInArrow(_texts(names), docs.schema)
 
 
 def _texts(names: list[str]):
