@@ -92,7 +92,8 @@ def license_scan(docs: DataFrame, texts: list[tuple[str, str]] = TEXTS, notices:
     lines = F.array_distinct(F.transform(F.split("canon", "\n", -1), lambda x: F.sha2(x, 256)))
     digests = canon.select("doc_id", F.sha2(whole(F.col("canon")), 256).alias("digest"), lines.alias("lines"))
     texts_by_digest = F.broadcast(known(docs, texts))
-    # The notices as one map of a fixed few entries: lines are looked up where they are, none is exploded.
-    table = F.broadcast(known(docs, notices).agg(F.map_from_entries(F.collect_list(F.struct("digest", "license_id"))).alias("known")))
-    found = F.array_sort(F.array_distinct(F.filter(F.transform("lines", lambda x: F.element_at("known", x)), lambda x: x.isNotNull())))
-    return digests.join(texts_by_digest, "digest", "left").join(table, how="left").select("doc_id", "license_id", found.alias("notices"))
+    # The notices as one literal map of a fixed few entries: lines are looked up where they are, none is exploded.
+    listed = known(docs, notices).orderBy("digest", "license_id").collect()
+    table = F.create_map(*[F.lit(x) for r in listed for x in (r.digest, r.license_id)]) if listed else F.create_map().cast("map<string,string>")
+    found = F.array_sort(F.array_distinct(F.filter(F.transform("lines", lambda x: F.try_element_at(table, x)), lambda x: x.isNotNull())))
+    return digests.join(texts_by_digest, "digest", "left").select("doc_id", "license_id", found.alias("notices"))
