@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,5 +65,40 @@ def with_group_values(df: DataFrame, keys: Sequence[str], salt: Column, first: S
     return salted.join(back, [*keys, "_salt"]).drop("_salt")
 
 
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Arrow batches of at most `rows` rows, so that long texts and both sides' copies of a batch stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
+_owner: list[tuple[str, Callable[[], None]]] = []
+
+
+def trim() -> None:
+    """Gives memory that this worker freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def lean(owner: str, run: Callable[[Iterator], Iterator], clear: Callable[[], None] = lambda: None) -> Callable[[Iterator], Iterator]:
+    """run for mapInArrow in a worker process that lives through several operators: tables that another operator kept
+    there are dropped first, and freed memory goes back when the task ends."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        if _owner and _owner[0][0] != owner:
+            _owner[0][1]()
+            trim()
+        _owner[:] = [(owner, clear)]
+        yield from run(batches)
+        trim()
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm.common import lean, small_batches
+
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
 KEEP = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -145,9 +147,18 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, items, items_sha256, hit_spans (code points of the original text): one row per document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.lit(0).cast("long").alias("n_words"), F.lit(b"").alias("spans"), F.array().cast("array<string>").alias("items"))
+    small_batches(docs.sparkSession)
+    scanner = None
     for block in blocks(benchmark, block_bytes):
-        rows = rows.mapInArrow(_scanner(block, window), SCANNED)
-    return rows.mapInArrow(_finish, "doc_id long, n_words long, n_hit long, items array<string>, items_sha256 string, hit_spans array<struct<start: long, end: long>>")
+        if scanner:
+            rows = rows.mapInArrow(lean("decontaminate", scanner, _built.clear), SCANNED)
+        scanner = _scanner(block, window)
+    # The last block's scan and the result share a worker: each Python step of a stage has workers of its own.
+    return rows.mapInArrow(lean("decontaminate", _finishing(scanner), _built.clear), "doc_id long, n_words long, n_hit long, items array<string>, items_sha256 string, hit_spans array<struct<start: long, end: long>>")
+
+
+def _finishing(scanner):
+    return lambda batches: _finish(scanner(batches))
 
 
 def is_contaminated(percent: int = 5):

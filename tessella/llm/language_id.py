@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.llm.common import lean, small_batches
+
 PER_LANGUAGE = 240
 SEGMENTS = 4
 STEPS = 64
@@ -237,13 +239,15 @@ def _predict(net: Network):
 
 def identify(docs: DataFrame, net: Network, text_too: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred, score (and text): one row per document."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    out = rows.mapInArrow(_predict(net), "doc_id long, text string, lang_pred string, score double")
+    out = rows.mapInArrow(lean("language", _predict(net)), "doc_id long, text string, lang_pred string, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", *["text"] * text_too)
 
 
 def keep_identified(docs: DataFrame, net: Network, least: float) -> DataFrame:
     """The rows of docs, all columns, whose text is identified with a score of at least `least`."""
+    small_batches(docs.sparkSession)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,4 +258,4 @@ def keep_identified(docs: DataFrame, net: Network, least: float) -> DataFrame:
             keep = pa.array([lang != UND and score >= least for lang, score in zip(said["lang_pred"].to_pylist(), said["score"].to_pylist(), strict=True)], pa.bool_())
             yield batch.filter(keep).select(names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean("language", run), docs.schema)

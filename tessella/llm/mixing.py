@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import cut
+from tessella.llm.common import cut, lean, small_batches
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -132,6 +132,7 @@ class Mix:
 
     def __init__(self, docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = 17, most: int = MOST_PASSES):
         self.spark: SparkSession = docs.sparkSession
+        small_batches(self.spark)
         self.block_words, self.seed = block_words, seed
         self.sizes = cut(sized(docs))  # no texts in it; every relation below starts here
         named = source_totals(self.sizes)
@@ -156,7 +157,7 @@ class Mix:
         low = F.col("first") + F.col("chunk") * CHUNK
         high = F.least(low + CHUNK, F.col("first") + F.col("slots")) - 1
         each = chunks.select("shard", "number", F.explode(F.sequence(low, high)).alias("slot"))
-        return each.mapInArrow(_slots(self.blocks, self.seed), "shard int, number int, slot long, block long, turn long")
+        return each.mapInArrow(lean("mixing", _slots(self.blocks, self.seed)), "shard int, number int, slot long, block long, turn long")
 
     def documents(self) -> DataFrame:
         """(doc_id, source, size, at, number, source_size, target)."""
@@ -188,20 +189,25 @@ class Mix:
         A document that a pass takes whole keeps its text; of others the taken runs of blocks stay, each with its own
         white space, joined by a line feed. n_chars, if there is one, follows the text.
         """
-        key = ["doc_id", "source", "size"]
         held = self.pieces(self.documents().where("size > 0")).join(self.slots().select("number", "block", "turn").hint("merge"), ["number", "block"])
         runs = held.groupBy("number", "at", "size", "doc_id", "turn").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("skip", "words"))).alias("runs"))
         plan = runs.groupBy("number", "at", "size", "doc_id").agg(F.sort_array(F.collect_list(F.struct("turn", "words", "runs"))).alias("takes"))
-        # Rows that repeat id, source and size are told apart by their order.
         plan = plan.join(F.broadcast(self.sources().select("number", "source")), "number")
-        plan = plan.withColumn("copy", F.row_number().over(Window.partitionBy(*key).orderBy("at")))
+        # Rows that repeat id, source and size share a key and are told apart by their order. Texts move once: the
+        # numbering and the join want the same partitioning.
+        wanted = plan.groupBy(_key("doc_id", "source", "size").alias("__key")).agg(F.sort_array(F.collect_list(F.struct("at", "takes"))).alias("__copies"))
         words = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
-        counted = docs.withColumn("__size", words).where(F.col("__size") > 0)
-        counted = counted.withColumn("__copy", F.row_number().over(Window.partitionBy("doc_id", "source", "__size").orderBy(F.xxhash64("text"))))
-        wanted = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"), F.col("copy").alias("__nth"), F.col("takes").alias("__takes"))
-        same = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))) & (F.col("source").eqNullSafe(F.col("__source"))) & (F.col("__size") == F.col("__words")) & (F.col("__copy") == F.col("__nth"))
         names = docs.columns
-        return counted.join(wanted.hint("merge"), same).select(*names, "__size", "__takes").mapInArrow(_texts(names), docs.schema)
+        counted = docs.withColumn("__size", words).where(F.col("__size") > 0).withColumn("__key", _key("doc_id", "source", "__size"))
+        counted = counted.withColumn("__copy", F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64("text"))))
+        takes = F.try_element_at("__copies", F.col("__copy"))["takes"].alias("__takes")
+        placed_rows = counted.join(wanted.hint("merge"), "__key").select(*names, "__size", takes).where("__takes IS NOT NULL")
+        return placed_rows.mapInArrow(lean("mixing", _texts(names)), docs.schema)
+
+
+def _key(doc_id: str, source: str, size: str) -> Column:
+    known = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat_ws(":", known(doc_id), F.col(size).cast("string"), known(source))))
 
 
 def _texts(names: list[str]):

@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import bounded_broadcast, cut, with_group_values
+from tessella.llm.common import bounded_broadcast, cut, lean, small_batches, with_group_values
 from tessella.llm.components import components
-from tessella.llm.shingles import mix, overlap, shingle_sets
+from tessella.llm.shingles import mix, overlap, power_tables, shingle_sets
 
 BANDS, ROWS = 25, 4
 DIMENSION = 1 << 20
@@ -45,6 +45,11 @@ _FEATURES = "doc_id long, n_shingles long, class binary, sig binary, bands array
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def forget() -> None:
+    _tables.clear()
+    power_tables.clear()
+
+
 def permutations(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
     """sigma, and pi followed by its own beginning, so that a shift is a view."""
     if coordinates not in _tables:
@@ -118,7 +123,7 @@ def _features(width: int, bands: int, rows: int):
 
 def features(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return narrow.mapInArrow(_features(width, bands, rows), _FEATURES)
+    return narrow.mapInArrow(lean("near", _features(width, bands, rows), forget), _FEATURES)
 
 
 def _compare(width: int, percent: int):
@@ -155,7 +160,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     wanted = bounded_broadcast(cut(leaves.unionByName(hubs)), 64)
     rows = texts.join(wanted, "doc_id").select("hub", "salt", "own", "leaf", "text")
     spread = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
-    return spread.mapInArrow(_compare(width, percent), "u binary, v binary").distinct()
+    return spread.mapInArrow(lean("near", _compare(width, percent), forget), "u binary, v binary").distinct()
 
 
 def _block_pairs(coordinates: int, percent: int):
@@ -198,6 +203,7 @@ def _block_pairs(coordinates: int, percent: int):
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, class, component_id, kept: one row per input row."""
+    small_batches(docs.sparkSession)
     facts = cut(features(docs, width, bands, rows))
     full = facts.where("n_shingles > 0")
     named = with_group_values(full, ["class"], F.xxhash64("doc_id"), [F.min("doc_id").alias("first")], [F.min("first").alias("first")])
@@ -214,7 +220,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     left = sigs.select(F.col("class").alias("hub"), F.col("n_shingles").alias("n1"), F.col("sig").alias("s1"))
     right = sigs.select(F.col("class").alias("leaf"), F.col("n_shingles").alias("n2"), F.col("sig").alias("s2"))
     sized = star.join(left, "hub").join(right, "leaf").where(F.expr(f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)"))
-    likely = sized.mapInArrow(_estimate(bands * rows), "hub binary, hub_doc long, leaf binary, leaf_doc long")
+    likely = sized.mapInArrow(lean("near", _estimate(bands * rows), forget), "hub binary, hub_doc long, leaf binary, leaf_doc long")
     links = cut(verified(cut(likely), docs, width, percent))
     roots = components(links)
     rest = _rest(members, reps, roots, bands * rows, percent)
@@ -262,7 +268,7 @@ def _rest(members: DataFrame, reps: DataFrame, roots: DataFrame, coordinates: in
         (F.col("block") == high).alias("at_right"),
         "class", "doc", "n_shingles", "root", "sig",
     )
-    return keyed.repartition("slot").sortWithinPartitions("key").mapInArrow(_block_pairs(coordinates, percent), "hub binary, hub_doc long, leaf binary, leaf_doc long").distinct()
+    return keyed.repartition("slot").sortWithinPartitions("key").mapInArrow(lean("near", _block_pairs(coordinates, percent), forget), "hub binary, hub_doc long, leaf binary, leaf_doc long").distinct()
 
 
 def _component_ids(roots: DataFrame, reps: DataFrame) -> DataFrame:

@@ -18,8 +18,8 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes of text hashed at once; a longer text is hashed alone.
-BATCH = 1 << 20
-_powers: list[np.ndarray] = []
+BATCH = 1 << 18
+power_tables: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,25 +30,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
+    if not power_tables or len(power_tables[0]) < n:
         size = max(n, BATCH + 1)
         made = []
         for base in (_BASE, _INVERSE):
             full = np.full(size, base, np.uint64)
             full[0] = 1
             made.append(np.cumprod(full))
-        if size > 16 * BATCH:  # not kept
+        if size > 8 << 20:  # not kept
             return made[0], made[1]
-        _powers[:] = made
-    return _powers[0], _powers[1]
+        power_tables[:] = made
+    return power_tables[0], power_tables[1]
 
 
-def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start offset and hash of every word of the bytes."""
+def spans_and_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word of the bytes."""
     blank = np.concatenate([[True], _BLANK[buffer], [True]])
     edge = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edge[::2], edge[1::2]
-    return starts, span_hashes(buffer, starts, ends)
+    return starts, ends, span_hashes(buffer, starts, ends)
+
+
+def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start offset and hash of every word of the bytes."""
+    starts, _, found = spans_and_hashes(buffer)
+    return starts, found
 
 
 def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.shingles import span_hashes
+from tessella.llm.common import lean, small_batches
+
+from tessella.llm.shingles import power_tables, span_hashes
 
 END_ID = 1
 MEMO = 400_000
-BATCH = 2 << 20
+BATCH = 1 << 20
 #: Documents aimed at for a part, and the most parts a folder gets.
 PART_DOCS, MOST_PARTS = 16_384, 4_096
 BLANK, STOP, LETTER = (np.isin(np.arange(256), list(x)) for x in (b"\t\n\x0b\x0c\r ", b".,", b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
@@ -149,6 +151,11 @@ def runs_of(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, span_hashes(buffer, starts, ends)
 
 
+def forget() -> None:
+    _encoders.clear()
+    power_tables.clear()
+
+
 def encoder(path: str, end_id: int) -> Encoder:
     if (path, end_id) not in _encoders:
         _encoders[path, end_id] = Encoder(path, end_id)
@@ -228,11 +235,12 @@ def _write(folder: str, width: int):
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> dict:
     """Writes the folder and returns its index. Only ids travel between executors, and one row a part to the driver."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    small_batches(docs.sparkSession)
     bounds = part_bounds(narrow)
     made = encoder(tokenizer, end_id)
-    encoded = narrow.mapInArrow(_encode(tokenizer, end_id, bounds), "part int, doc_id long, ids binary")
+    encoded = narrow.mapInArrow(lean("tokens", _encode(tokenizer, end_id, bounds), forget), "part int, doc_id long, ids binary")
     ordered = encoded.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "ids")
-    rows = sorted(ordered.mapInArrow(_write(folder, made.dtype.itemsize), "part long, docs long, tokens long, nulls long").collect())
+    rows = sorted(ordered.mapInArrow(lean("tokens", _write(folder, made.dtype.itemsize), forget), "part long, docs long, tokens long, nulls long").collect())
     bases = np.cumsum([0, *(r.tokens for r in rows)]).tolist()
     index = {"dtype": made.dtype.str, "end_id": end_id, "tokens": bases[-1], "parts": [{"part": r.part, "docs": r.docs, "tokens": r.tokens, "nulls": r.nulls, "base": base} for r, base in zip(rows, bases[:-1], strict=True)]}
     Path(folder).mkdir(parents=True, exist_ok=True)
@@ -262,7 +270,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     index = json.loads(Path(folder, "index.json").read_text())
     parts = spark.createDataFrame([(p["part"], p["docs"], p["nulls"], p["base"]) for p in index["parts"]], "part long, docs long, nulls long, base long")
     spread = parts.repartition(max(1, min(len(index["parts"]), 1024)), "part")
-    return spread.mapInArrow(_read(folder, index["dtype"]), ROWS)
+    return spread.mapInArrow(lean("tokens", _read(folder, index["dtype"]), forget), ROWS)
 
 
 def document_ids(folder: str, part: int, at: int) -> np.ndarray:
