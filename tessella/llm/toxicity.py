@@ -5,8 +5,8 @@ probabilities of the categories before it; those probabilities come, in training
 row (out-of-fold predictions), so that later models learn how far earlier ones can be trusted.
 
 Training uses a bounded sample: at most `per_class` labelled documents of each class of the last category, the first by
-hash. Words are lower-case runs of ASCII letters, digits and other characters; the features are the words found in at
-least `least_docs` sample documents, by exact 64-bit hash. Prediction reads every word of every text.
+hash. Words are lower-case runs of ASCII letters, digits and other characters; the features are the words, and beginnings of
+words, found in at least `least_docs` sample documents, by exact 64-bit hash. Prediction reads every word of every text.
 
 Defined results: a null or empty text has no words, so it gets what the intercepts say; labels that are null, or whose
 document is missing, aren't learned from; without both classes in the sample all probabilities are the share of ones.
@@ -22,11 +22,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.llm.common import lean, small_batches
+
 from tessella.llm.decontaminate import KEEP
-from tessella.llm.shingles import word_hashes
+from tessella.llm.shingles import mix, power_tables, span_hashes, spans_and_hashes
 
 PER_CLASS = 2500
 LEAST_DOCS = 4
+#: Bytes of the beginnings that are features.
+BEGINNINGS = (5, 7)
 FOLDS = 5
 #: Labels know one category only; these narrower ones hold, among documents labelled toxic, where such a word occurs.
 SEEDS = {"insult": ("idiot", "moron", "stupid", "clown", "loser"), "contempt": ("trash", "scum", "worthless", "pathetic", "disgusting")}
@@ -34,10 +38,16 @@ CATEGORIES = (*SEEDS, "toxic")
 
 
 def words_of(text: str | None) -> np.ndarray:
-    """Distinct word hashes, sorted."""
+    """Distinct hashes of words and of the beginnings of longer words (compounds share their first stem), sorted."""
     if not text:
         return np.zeros(0, np.uint64)
-    return np.unique(word_hashes(np.frombuffer(text.encode().lower().translate(KEEP), np.uint8))[1])
+    buffer = np.frombuffer(text.encode().lower().translate(KEEP), np.uint8)
+    starts, ends, found = spans_and_hashes(buffer)
+    parts = [found]
+    for n in BEGINNINGS:
+        long = ends - starts > n
+        parts.append(mix(span_hashes(buffer, starts[long], starts[long] + n) + np.uint64(n)))
+    return np.unique(np.concatenate(parts))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> list[tuple[int, str, int]]:
@@ -65,23 +75,29 @@ class Linear:
     def margin(self, flat: np.ndarray, rows: np.ndarray, dense: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(rows, self.w[flat], n) + dense @ self.d + self.b
 
-    def fit(self, flat: np.ndarray, rows: np.ndarray, dense: np.ndarray, y: np.ndarray, rounds: int = 250, decay: float = 2e-4) -> Linear:
-        """Full-batch Adam on the mean loss with an L2 penalty."""
-        n = len(y)
-        if not 0 < y.sum() < n:
-            self.b = float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
+    def fit(self, flat: np.ndarray, rows: np.ndarray, dense: np.ndarray, y: np.ndarray, rounds: int = 60, decay: float = 2e-3) -> Linear:
+        """Full-batch Adam on the mean loss with an L2 penalty.
+
+        Word features are scaled by the log ratio of their smoothed shares in both classes, so that the penalty falls
+        on words that tell little.
+        """
+        n, ones = len(y), float(y.sum())
+        if not 0 < ones < n:
+            self.b = float(np.log((ones + 0.5) / (n - ones + 0.5)))
             return self
-        p = [self.w, self.d, np.zeros(1)]
+        there, all_rows = np.bincount(flat, y[rows], len(self.w)), np.bincount(flat, minlength=len(self.w))
+        ratio = np.log((there + 1) / (ones + 2)) - np.log((all_rows - there + 1) / (n - ones + 2))
+        p = [np.zeros(len(self.w)), self.d, np.zeros(1)]
         first, second = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
         for t in range(1, rounds + 1):
-            self.b = float(p[2][0])
+            self.w, self.b = p[0] * ratio, float(p[2][0])
             e = (logistic(self.margin(flat, rows, dense, n)) - y) / n
-            grads = [np.bincount(flat, e[rows], len(self.w)) + decay * p[0], e @ dense + decay * p[1], np.array([e.sum()])]
+            grads = [ratio * np.bincount(flat, e[rows], len(self.w)) + decay * p[0], e @ dense + decay * p[1], np.array([e.sum()])]
             for x, g, m, v in zip(p, grads, first, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
-                x -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        self.b = float(p[2][0])
+                x -= 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        self.w, self.b = p[0] * ratio, float(p[2][0])
         return self
 
 
@@ -152,8 +168,9 @@ def _predict(chain: Chain):
 
 def toxicity(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id and one probability per category: one row per document, no shuffle."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return rows.mapInArrow(_predict(chain), "doc_id long, " + ", ".join(f"{n} double" for n in chain.names))
+    return rows.mapInArrow(lean("toxicity", _predict(chain), power_tables.clear), "doc_id long, " + ", ".join(f"{n} double" for n in chain.names))
 
 
 def is_toxic(threshold: float = 0.5) -> Column:
