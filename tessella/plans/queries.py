@@ -208,13 +208,22 @@ def qa_pairs(spark, d):
     return mining.qa_pairs(read(spark, d, "conversations"))
 
 
+def source_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select(F.col("source").alias("qid"), F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).alias("rank"), F.col("text").alias("block"))
+
+
 @query
 def context_pack(spark, d):
-    rows = read(spark, d, "documents").select(F.col("source").alias("qid"), F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).alias("rank"), F.col("text").alias("block"))
-    packed = context.contexts(rows, 12_000)
+    packed = context.contexts(source_blocks(spark, d), 12_000)
     return packed.select("qid", F.length("context").alias("chars"), F.md5("context").alias("digest"), "blocks")
 
 
+@query
+def context_build(spark, d):
+    built = context.docs_to_context(source_blocks(spark, d))
+    return built.select("qid", F.length("context").alias("chars"), F.md5("context").alias("digest"), "blocks")
+
+
 @query
 def source_collect(spark, d):
     rows = read(spark, d, "documents").select(F.col("lang").alias("qid"), F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")).alias("rank"), "source")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessella.functions import text as X
 from tessella.functions import urls as U
 from tessella.operators import bm25, chunking, clauses, context, fusion, metrics, mining, relational, search, vectors
+from tessella.plans.queries import QUERIES
 from tessella.sources import readers, sinks
 from tessella.streaming import ingest
 
@@ -127,6 +128,19 @@ def test_context(spark):
     assert [r.answer for r in asked.orderBy("qid").collect()] == ["No answer was found.", "x"]
 
 
+def test_docs_to_context(spark, sf):
+    long = "A sentence of words. " * 900
+    rows = spark.createDataFrame([(1, 1, long), (1, 2, "b"), (2, 1, "a" * 12), (2, 2, "b" * 13), (2, 3, "c"), (3, 1, " \n"), (3, 2, None)], "qid int, rank int, block string")
+    got = {r.qid: r for r in context.docs_to_context(rows, 5_100).collect()}
+    assert got[1].blocks == 2 and len(got[1].context) <= 5_100 and got[1].context.endswith("\n…" + context.SEPARATOR + "b")
+    assert (got[3].context, got[3].blocks) == ("", 0)
+    exact = {r.qid: r for r in context.docs_to_context(rows, 30).collect()}  # 12 + 5 + 13: no separator before the first
+    assert exact[2].context == "a" * 12 + context.SEPARATOR + "b" * 13 and exact[1].blocks == 0
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    built = QUERIES["context_build"](spark, sf).collect()
+    assert len(built) == docs.select("source").distinct().count() and all(r.blocks > 0 for r in built)
+
+
 def test_recursive_split():
     split = chunking.recursive_split
     assert split("short", 10, 2) == ["short"]
