@@ -2,11 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir); its rows are written as Parquet and read again as the next one's docs. All but
 the last return the columns of documents.
+
+Decisions to drop a row are made on a written row key, not on doc_id, which may be null or repeated.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessella.llm import decontaminate, language_id, mixing, near_dedup, token_files
 from tessella.llm.common import bounded_broadcast, cut, shared_path, table
@@ -14,6 +17,8 @@ from tessella.llm.queries import tokenizer_path
 
 #: The least mean probability of a document's language.
 LEAST_SCORE = 0.35
+#: The column of row keys.
+ROW = "_row"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,20 +27,40 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.keep_identified(docs, net, LEAST_SCORE)
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the dropped doc_ids: beside the documents if those ids are few, else by a shuffled join."""
-    return docs.join(bounded_broadcast(cut(dropped.select("doc_id").distinct()), 24), "doc_id", "left_anti").select(*docs.columns)
+def _keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs with a key for each row, written, so that every reader sees the same keys."""
+    path = "file://" + shared_path(spark, "rows")
+    docs.withColumn(ROW, F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) with the row key as doc_id."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """rows without the dropped keys, and without keys: beside the rows if the keys are few, else by a shuffled join."""
+    return rows.join(bounded_broadcast(cut(dropped.select(ROW)), 24), ROW, "left_anti").drop(ROW)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group (five words, similarity 0.8)."""
-    return _without(docs, near_dedup.near_duplicates(docs, width=5, percent=80).where("NOT kept"))
+    """Keeps one document of each near-duplicate group (five words, similarity 0.8): that of the smallest doc_id, null last."""
+    rows = _keyed(spark, docs)
+    found = near_dedup.near_duplicates(_by_row(rows), width=5, percent=80).where("NOT kept")
+    others = cut(found.select(F.col("doc_id").alias(ROW), F.col("component_id").alias("component")))
+    # A component is named by its first row, which the rows to drop leave out.
+    members = others.unionByName(others.select(F.col("component").alias(ROW), "component").distinct())
+    members = cut(bounded_broadcast(cut(members), 32).join(rows.select(ROW, "doc_id"), ROW))
+    stay = members.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("least")).select(F.col(f"least.{ROW}").alias(ROW))
+    return _without(rows, members.join(stay, ROW, "left_anti"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of whose words less than 5% lie in benchmark windows."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where(decontaminate.is_contaminated()))
+    rows = _keyed(spark, docs)
+    found = decontaminate.contamination(_by_row(rows), table(spark, sf_dir, "benchmark"))
+    return _without(rows, found.where(decontaminate.is_contaminated()).select(F.col("doc_id").alias(ROW)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,8 @@ shuffled join beyond it. The smaller class of a pair is the hub; its other ends
 one at a time against the hub's set.
 
 Defined results: without words or text a set is empty (n_shingles 0) and linked with nothing. doc_id should be
-unique; rows that repeat it with other texts are told apart by their sets. A row without doc_id belongs to its class,
-but can't name it: component_id is null if the whole class has none. An empty table gives no rows.
+unique; rows that repeat it with other texts are told apart by their sets. A row without doc_id links like any other,
+but can't name its component: component_id is null if the whole component has none. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ DIMENSION = 1 << 20
 ESTIMATE = 0.55
 BLOCK = 1024
 STAR_SALTS = 32
-_FEATURES = "doc_id long, n_shingles long, class binary, sig binary, bands array<long>"
+_FEATURES = "doc_id long, place long, n_shingles long, class binary, sig binary, bands array<long>"
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -114,15 +114,22 @@ def _features(width: int, bands: int, rows: int):
                     held = 0
             flush()
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "class", "sig", "bands"],
+                [batch["doc_id"], batch["place"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "place", "n_shingles", "class", "sig", "bands"],
             )
 
     return run
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, place, text. Texts are found again by place: the doc_id, or a hash of the text of a row without one. Rows
+    of other sets at the same place are told apart by their digests, as those that repeat a doc_id are."""
+    place = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), place.alias("place"), F.col("text").alias("text"))
+
+
 def features(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    narrow = placed(docs)
     return narrow.mapInArrow(lean("near", _features(width, bands, rows), forget), _FEATURES)
 
 
@@ -153,7 +160,7 @@ def _compare(width: int, percent: int):
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (hub, hub_doc, leaf, leaf_doc) that are links, as edges (u, v). pairs should be cut."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).where("doc_id IS NOT NULL")
+    texts = placed(docs).select(F.col("place").alias("doc_id"), "text")
     salt = F.pmod(F.xxhash64("leaf"), F.lit(STAR_SALTS)).cast("int").alias("salt")
     leaves = pairs.select("hub", salt, F.lit(False).alias("own"), "leaf", F.col("leaf_doc").alias("doc_id"))
     hubs = pairs.select("hub", salt, F.lit(True).alias("own"), F.col("hub").alias("leaf"), F.col("hub_doc").alias("doc_id")).distinct()
@@ -206,9 +213,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     small_batches(docs.sparkSession)
     facts = cut(features(docs, width, bands, rows))
     full = facts.where("n_shingles > 0")
-    named = with_group_values(full, ["class"], F.xxhash64("doc_id"), [F.min("doc_id").alias("first")], [F.min("first").alias("first")])
-    # One row per class and salt-free: its smallest doc_id (a repeated row may come twice, which repeats candidates only).
-    reps = named.where("doc_id = first").select("class", F.col("doc_id").alias("doc"), "n_shingles", "sig", "bands")
+    named = with_group_values(full, ["class"], F.xxhash64("doc_id"), [F.min("doc_id").alias("first"), F.min("place").alias("at")], [F.min("first").alias("first"), F.min("at").alias("at")])
+    # One row per class: its smallest doc_id, or the smallest place of a class without ids.
+    reps = named.where("place = coalesce(first, at)").select("class", F.col("place").alias("doc"), "first", "n_shingles", "sig", "bands").dropDuplicates(["class"])
     reps = cut(reps)
     lanes = reps.select(F.explode("bands").alias("band"), "class", "doc", "n_shingles")
     # Map-side combination leaves one row per task for a hot bucket.
@@ -273,6 +280,6 @@ def _rest(members: DataFrame, reps: DataFrame, roots: DataFrame, coordinates: in
 
 def _component_ids(roots: DataFrame, reps: DataFrame) -> DataFrame:
     """(class, component): the smallest doc_id of the classes under each root."""
-    linked = roots.join(reps.select(F.col("class").alias("node"), "doc").dropDuplicates(["node"]), "node")
-    least = with_group_values(linked, ["root"], F.xxhash64("node"), [F.min("doc").alias("component")], [F.min("component").alias("component")])
+    linked = roots.join(reps.select(F.col("class").alias("node"), "first").dropDuplicates(["node"]), "node")
+    least = with_group_values(linked, ["root"], F.xxhash64("node"), [F.min("first").alias("component")], [F.min("component").alias("component")])
     return least.select(F.col("node").alias("class"), "component")

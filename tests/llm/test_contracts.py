@@ -91,6 +91,62 @@ def test_near_dedup_rest_pass(spark):
     assert set(got.values()) == {0}
 
 
+def test_near_dedup_without_ids(spark):
+    """Rows without doc_id link to similar texts, and bridge two that aren't similar to each other."""
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words[k : k + 50]) for k in (0, 4, 8)]
+    docs = spark.createDataFrame([(7, texts[0]), (None, texts[1]), (9, texts[2]), (None, "far " + texts[0][::-1]), (None, None)], "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs, width=4).collect())
+    assert got == Counter([(7, 7, True), (None, 7, False), (9, 7, False), (None, None, True), (None, None, True)])
+
+
+def test_pipeline_row_decisions(spark, tmp_path):
+    """The near-duplicate and decontamination stages against brute force, with null and repeated ids."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(3)
+    bodies = [" ".join(f"u{x}" for x in rng.integers(0, 900, 60)) for _ in range(8)]
+    near = [b + " tail" for b in bodies[:4]]
+    item = " ".join(f"q{k}" for k in range(20))
+    rows = [(None, bodies[0]), (None, near[0]), (None, bodies[1]), (4, near[1]), (4, bodies[2]), (5, bodies[3]), (5, bodies[3]), (5, bodies[3]), (None, None), (None, "")]
+    rows += [(6, bodies[4]), (6, bodies[5]), (3, near[3]), (None, bodies[6] + " " + item), (8, item + " x"), (8, bodies[7]), (None, item)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([("b", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    sets = [sets_of(t, 5) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        groups[find(i)].append((d is None, d or 0))
+    got = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert Counter((d is None, d or 0) for d, _ in kept) == Counter(min(g) for g in groups.values())
+    at = [[i for i, row in enumerate(rows) if row == k] for k in kept]
+    assert sorted(find(i[0]) for i in at) == sorted(groups)
+
+    windows = {tuple(item.split()[k : k + 13]) for k in range(8)}
+
+    def contaminated(t):
+        w = (t or "").split()
+        hit = {k + j for k in range(len(w)) if tuple(w[k : k + 13]) in windows for j in range(13)}
+        return bool(hit) and 100 * len(hit) >= 5 * len(w)
+
+    clean = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(r for r in rows if not contaminated(r[1]))
+
+
 PY = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
