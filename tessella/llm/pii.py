@@ -21,13 +21,22 @@ from pyspark.sql import functions as F
 
 MARK, OTHER = "\x01", "\x02"
 LOCAL = "[A-Za-z0-9._%+-]"
+#: Length of a country's IBANs -> countries. Other countries' may have 15 to 34 characters.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+_IBANS = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 #: kind -> pattern, in the order of the results. The first four are the base kinds.
 PATTERNS = {
     "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBANS}|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+)(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
 BASE = ("email", "ip", "card", "phone")

@@ -199,6 +199,17 @@ def test_pii_method(spark):
     assert [x for x in found[1] if x[0] == "ssn"] and not [x for x in found[1] if "33;" in x[1] or x[1].endswith("433")]
 
 
+def test_pii_iban_before_upper_case(spark):
+    ibans = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606"]
+    after = ["", " EUR 500", " BIC: COBADEFFXXX", " BIC COBADEFFXXX", " 12 34", ", then"]
+    rows = [(k, f"IBAN {x}{y}", x) for k, (x, y) in enumerate((x, y) for x in ibans for y in after)]
+    rows += [(900, "IBAN DE89370400440532013000EUR", None), (901, "IBAN DE89370400440532013001 EUR", None)]
+    texts = {k: t for k, t, _ in rows}
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string, iban string")).collect()
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "iban"] for r in found}
+    assert got == {k: [x] if x else [] for k, _, x in rows}
+
+
 def test_token_files(spark, docs, tmp_path):
     from tokenizers import Tokenizer
 
