@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -15,29 +16,60 @@ from pyspark.sql import functions as F
 
 #: Rows of at most this many bytes in all may be broadcast.
 BROADCAST_BYTES = 48 << 20
+#: Rows of a key from which on it counts as hot.
+HOT = 16_384
 #: Salts over which the rows of one group are spread.
 SALTS = 64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share, as a Hadoop URI or path: spark.checkpoint.dir. Where that is unset, a folder of our
+    own if driver and executors are one process, as in tests; a cluster must name one."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or (sc.getCheckpointDir() if sc._jsc.sc().getCheckpointDir().isDefined() else None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tessella-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(folder)
     return folder
 
 
+def shared_uri(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder, for Spark's readers and writers: any Hadoop file system will do."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh POSIX path under the shared folder (a mount that every executor sees)."""
+    """A fresh POSIX path under the shared folder, for files that are memory-mapped or read by Python: it must be a mount
+    that every executor sees."""
     folder = urlparse(shared_dir(spark))
     if folder.scheme not in ("", "file"):
-        raise ValueError(f"memory-mapped files need a mounted shared folder, not {folder.scheme}:")
+        raise ValueError(f"files that Python workers read need a mounted shared folder, not {folder.scheme}:")
     return f"{unquote(folder.path).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a path of any Hadoop file system, with all that is in it."""
+    jvm, sc = spark._jvm, spark.sparkContext
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def quoted(name: str) -> str:
+    """A column's name for col(), whatever signs are in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, made longer until no column of df has it (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder, so that lost executors cost nothing that came before."""
     shared_dir(df.sparkSession)
@@ -52,6 +84,23 @@ def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTE
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, members: str, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """rows joined to groups, one row per key, where `members` says how many rows a key has.
+
+    All groups are broadcast if they are proven to fit `limit`. Else those of the most members are: a group goes that way
+    from so many members on that all such groups together fit, and what is left is joined by shuffle with no hot key.
+    groups should be cut().
+    """
+    total, n = groups.agg(F.sum(members), F.count(F.lit(1))).first()
+    most = limit // row_bytes
+    if n <= most:
+        return rows.join(F.broadcast(groups), key)
+    # At most total / hot groups have more than `hot` members.
+    hot = max(HOT, -(-total // most))
+    few = groups.where(F.col(members) > hot)
+    return rows.join(F.broadcast(few), key).unionByName(rows.join(groups.where(F.col(members) <= hot).hint("merge"), key))
+
+
 def with_group_values(df: DataFrame, keys: Sequence[str], salt: Column, first: Sequence[Column], merge: Sequence[Column], salts: int = SALTS) -> DataFrame:
     """df with the values of each row's group, without ever holding a whole group in one task.
 
