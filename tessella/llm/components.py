@@ -5,25 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import cut
+from tessella.llm.common import BROADCAST_BYTES, HOT, cut
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, hot: int = HOT) -> DataFrame:
     """(node, root) for every node of the edges (u, v): root is the smallest node of its component.
 
     Each round takes the smallest label among neighbours, then the label of that label, so that chains shrink
     exponentially; rounds end when none changes. Labels are cut to the shared folder in every round, only the number
     of changes comes to the driver. No edges give no rows.
+
+    No key is hot: a node of many neighbours has a copy of its label for every `hot` of them, which its edges share out
+    among themselves, and the label of a label that many nodes have comes to them over salts.
     """
     pairs = edges.select("u", "v").where("u <> v")
     both = cut(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = cut(both.groupBy("u").agg(F.min("v").alias("least")).select(F.col("u").alias("node"), F.least("u", "least").alias("root")))
+    # So many neighbours make a hub that all hubs together fit a broadcast.
+    hot = max(hot, -(-both.count() * 40 // BROADCAST_BYTES))
+    # Edges are counted in their tasks before they are shuffled, so that a hub is a row of each.
+    first = both.groupBy("u").agg(F.min("v").alias("least"), F.count(F.lit(1)).alias("degree"))
+    labels = cut(first.select(F.col("u").alias("node"), F.least("u", "least").alias("root"), F.ceil(F.col("degree") / F.lit(float(hot))).cast("int").alias("copies")))
+    hubs = F.broadcast(labels.where("copies > 1").select(F.col("node").alias("v"), "copies"))
+    spread = cut(both.join(hubs, "v", "left").select("u", "v", F.when(F.col("copies").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("u"), F.col("copies"))).cast("int").alias("copy")))
     while True:
-        near = both.join(labels.select(F.col("node").alias("v"), F.col("root").alias("seen")), "v").groupBy("u").agg(F.min("seen").alias("seen"))
-        lowered = labels.join(near.select(F.col("u").alias("node"), "seen"), "node", "left").select("node", "root", F.least("root", F.coalesce("seen", "root")).alias("low"))
-        jumped = lowered.join(labels.select(F.col("node").alias("low"), F.col("root").alias("far")), "low", "left")
-        after = cut(jumped.select("node", F.least("low", F.coalesce("far", "low")).alias("new"), F.col("root").alias("old")))
+        shown = labels.select(F.col("node").alias("v"), F.col("root").alias("seen"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+        near = spread.join(shown, ["v", "copy"]).groupBy("u").agg(F.min("seen").alias("seen"))
+        lowered = labels.join(near.select(F.col("u").alias("node"), "seen"), "node", "left").select("node", "root", "copies", F.least("root", F.coalesce("seen", "root")).alias("low"))
+        # A label's own label: looked up once for each (label, salt), never for each node.
+        ends = labels.select(F.col("node").alias("low"), F.col("root").alias("far"))
+        salted = lowered.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(64)).cast("int"))
+        jumps = salted.select("low", "salt").distinct().join(ends, "low")
+        after = cut(salted.join(jumps, ["low", "salt"], "left").select("node", F.least("low", F.coalesce("far", "low")).alias("new"), F.col("root").alias("old"), "copies"))
         changed = after.where("new <> old").count()
-        labels = after.select("node", F.col("new").alias("root"))
+        labels = after.select("node", F.col("new").alias("root"), "copies")
         if not changed:
-            return labels
+            return labels.select("node", "root")

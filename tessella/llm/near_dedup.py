@@ -12,8 +12,13 @@ least pi[(sigma(x) + k) mod D], pi shifted circularly by k.
 5. Components; the smallest doc_id of a component names it.
 
 Verification re-reads the texts of candidates only: pairs are joined to documents by a size-checked broadcast, or a
-shuffled join beyond it. The smaller class of a pair is the hub; its other ends are spread over salts and compared
-one at a time against the hub's set.
+shuffled join beyond it. The smaller class of a pair is the hub; its other ends are shared out to as many tasks as it
+has STAR_LEAVES of them, and compared one at a time against the hub's set. No join has a hot key: rows of a hub or
+a bucket of any size meet what belongs to it over salts, or by a broadcast of the few that are that large.
+
+The rest pass compares signatures within blocks of a bucket, so it is quadratic in the members of a bucket that stars
+left with several components: documents of one family just under the threshold. Nothing but signatures of 100
+bytes travels for that, and only pairs of different components that pass the estimate are verified.
 
 Defined results: without words or text a set is empty (n_shingles 0) and linked with nothing. doc_id should be
 unique; rows that repeat it with other texts are told apart by their sets. A row without doc_id links like any other,
@@ -30,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import bounded_broadcast, cut, lean, small_batches, with_group_values
+from tessella.llm.common import bounded_broadcast, cut, join_groups, lean, small_batches, with_group_values
 from tessella.llm.components import components
 from tessella.llm.shingles import mix, overlap, power_tables, shingle_sets
 
@@ -40,6 +45,8 @@ DIMENSION = 1 << 20
 ESTIMATE = 0.55
 BLOCK = 1024
 STAR_SALTS = 32
+#: Leaves of a hub that one task compares.
+STAR_LEAVES = 2048
 _FEATURES = "doc_id long, place long, n_shingles long, class binary, sig binary, bands array<long>"
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -161,9 +168,11 @@ def _compare(width: int, percent: int):
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (hub, hub_doc, leaf, leaf_doc) that are links, as edges (u, v). pairs should be cut."""
     texts = placed(docs).select(F.col("place").alias("doc_id"), "text")
-    salt = F.pmod(F.xxhash64("leaf"), F.lit(STAR_SALTS)).cast("int").alias("salt")
-    leaves = pairs.select("hub", salt, F.lit(False).alias("own"), "leaf", F.col("leaf_doc").alias("doc_id"))
-    hubs = pairs.select("hub", salt, F.lit(True).alias("own"), F.col("hub").alias("leaf"), F.col("hub_doc").alias("doc_id")).distinct()
+    counted = with_group_values(pairs, ["hub"], F.xxhash64("leaf"), [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("n")])
+    salt = F.pmod(F.xxhash64("leaf"), F.ceil(F.col("n") / F.lit(float(STAR_LEAVES)))).cast("int").alias("salt")
+    salted = cut(counted.select("hub", "hub_doc", salt, "leaf", "leaf_doc"))
+    leaves = salted.select("hub", "salt", F.lit(False).alias("own"), "leaf", F.col("leaf_doc").alias("doc_id"))
+    hubs = salted.select("hub", "salt", F.lit(True).alias("own"), F.col("hub").alias("leaf"), F.col("hub_doc").alias("doc_id")).distinct()
     wanted = bounded_broadcast(cut(leaves.unionByName(hubs)), 64)
     rows = texts.join(wanted, "doc_id").select("hub", "salt", "own", "leaf", "text")
     spread = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
@@ -220,13 +229,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     lanes = reps.select(F.explode("bands").alias("band"), "class", "doc", "n_shingles")
     # Map-side combination leaves one row per task for a hot bucket.
     buckets = lanes.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("doc", "class")).alias("hub")).where("members > 1")
-    hubs = bounded_broadcast(cut(buckets.select("band", "members", F.col("hub.doc").alias("hub_doc"), F.col("hub.class").alias("hub"))), 96)
-    members = cut(lanes.join(hubs, "band"))
-    star = members.where("class <> hub").select("hub", "hub_doc", F.col("class").alias("leaf"), F.col("doc").alias("leaf_doc")).distinct()
+    hubs = cut(buckets.select("band", "members", F.col("hub.doc").alias("hub_doc"), F.col("hub.class").alias("hub")))
+    members = cut(join_groups(lanes, hubs, "band", "members", 96))
+    star = members.where("class <> hub").select("hub", "hub_doc", F.col("class").alias("leaf"), F.col("doc").alias("leaf_doc"), F.pmod(F.xxhash64("class"), F.lit(STAR_SALTS)).cast("int").alias("salt")).distinct()
     sigs = reps.select("class", "n_shingles", "sig").dropDuplicates(["class"])
-    left = sigs.select(F.col("class").alias("hub"), F.col("n_shingles").alias("n1"), F.col("sig").alias("s1"))
+    # A hub's signature comes to its leaves once for each salt.
+    left = star.select("hub", "salt").distinct().join(sigs.select(F.col("class").alias("hub"), F.col("n_shingles").alias("n1"), F.col("sig").alias("s1")), "hub")
     right = sigs.select(F.col("class").alias("leaf"), F.col("n_shingles").alias("n2"), F.col("sig").alias("s2"))
-    sized = star.join(left, "hub").join(right, "leaf").where(F.expr(f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)"))
+    sized = star.join(left, ["hub", "salt"]).join(right, "leaf").where(F.expr(f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)"))
     likely = sized.mapInArrow(lean("near", _estimate(bands * rows), forget), "hub binary, hub_doc long, leaf binary, leaf_doc long")
     links = cut(verified(cut(likely), docs, width, percent))
     roots = components(links)
@@ -259,9 +269,8 @@ def _estimate(coordinates: int):
 def _rest(members: DataFrame, reps: DataFrame, roots: DataFrame, coordinates: int, percent: int) -> DataFrame:
     """Pairs that may link different components within a bucket: the exact way for what stars leave open."""
     labelled = members.join(roots.select(F.col("node").alias("class"), F.col("root").alias("linked")), "class", "left").withColumn("root", F.coalesce("linked", "class"))
-    mixed = labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    mixed = bounded_broadcast(cut(mixed), 32)
-    inside = labelled.join(mixed, "band", "left_semi").select("band", "members", "class", "doc", "n_shingles", "root")
+    mixed = labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("members").alias("members")).where("low <> high")
+    inside = join_groups(labelled.select("band", "class", "doc", "n_shingles", "root"), cut(mixed.select("band", "members")), "band", "members", 40)
     inside = inside.join(reps.select("class", "sig").dropDuplicates(["class"]), "class")
     blocks = F.ceil(F.col("members") / F.lit(float(BLOCK))).cast("int")
     placed = inside.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
