@@ -1,17 +1,19 @@
 """Language identification: a bidirectional gated recurrent network over bytes, in numpy.
 
 Training is backpropagation through time on segments of a bounded sample: `per_language` labelled documents of each
-language (the first by hash) and `segments` random segments of each. Every position of a segment is labelled with the
-language of its document. Prediction reads every byte of every text: texts are laid out in segments of `steps` bytes,
+language (the first by hash) and of each `segments` segments of `steps` bytes, drawn at pseudorandom places of its whole
+text where the text is; only segments come to the driver. Every position of a segment is labelled with the language of its document. Prediction reads every byte of every text: texts are laid out in segments of `steps` bytes,
 the network labels each position, and a document's probabilities are the mean over its positions.
 
 Defined results: `und` with score 0 if the text is null or has no letter, or if nothing could be learned; a single
-learned language is predicted with score 1. Training never sees documents without doc_id, text or lang. lang, source
+learned language is predicted with score 1. Rows that repeat a doc_id, or have none, are rows of their own, and equal
+texts get equal predictions; in training, rows that tie count in the order of their texts. Training never sees documents without doc_id, text or lang. lang, source
 and doc_id are never inputs of a prediction. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import lean, small_batches
+from tessella.llm.common import bounded_broadcast, cut, lean, small_batches
 
 PER_LANGUAGE = 240
 SEGMENTS = 4
@@ -36,17 +38,33 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """(lang, text) of at most `per_language` documents a language. Only ids and languages are ranked, each map task
-    sends at most that many rows a language, and texts are read for the chosen ids alone."""
+def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, segments: int = SEGMENTS, steps: int = STEPS) -> list[tuple[str, bytes]]:
+    """(lang, segment) of at most `per_language` documents a language, `segments` of each. Only ids and languages are
+    ranked first; texts are read for the chosen ids alone, and ranked once more where rows repeat an id."""
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("lang").alias("lang"), F.col("text").alias("text"))
     known = rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    texts = known.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
-    # A piece of each text is enough to train on; predictions read whole texts.
-    pieces = texts.select("lang", "doc_id", F.substring("text", 1, 4000).alias("text"))
-    return [(r.lang, r.text) for r in pieces.orderBy("lang", "doc_id", "text").collect()]
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= per_language)
+    ids = bounded_broadcast(cut(chosen.select("doc_id").distinct()), 16)
+    drawn = known.join(ids, "doc_id", "left_semi").mapInArrow(lean("language", _segments(segments, steps)), "lang string, doc_id long, digest long, segments array<binary>")
+    least = Window.partitionBy("lang").orderBy(*order, "digest")
+    kept = drawn.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= per_language)
+    return [(r.lang, bytes(x)) for r in kept.orderBy("lang", "doc_id", "digest").collect() for x in r.segments]
+
+
+def _segments(segments: int, steps: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, digests = [], []
+            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+                raw = text.as_py().encode()
+                digests.append(int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True))
+                rng = np.random.Generator(np.random.PCG64([doc & (1 << 63) - 1, digests[-1] & (1 << 63) - 1]))
+                places = rng.integers(0, max(1, len(raw) - steps + 1), segments).tolist() if has_letter(text.as_py()) else []
+                out.append([raw[at : at + steps] for at in places])
+            yield pa.RecordBatch.from_arrays([batch["lang"], batch["doc_id"].cast(pa.int64()), pa.array(digests, pa.int64()), pa.array(out, pa.list_(pa.binary()))], names=["lang", "doc_id", "digest", "segments"])
+
+    return run
 
 
 def has_letter(text: str | None) -> bool:
@@ -159,21 +177,15 @@ class Network:
         return grads
 
 
-def train(sample: list[tuple[str, str]], hidden: int = HIDDEN, segments: int = SEGMENTS, steps: int = STEPS, epochs: int = EPOCHS, seed: int = 5) -> Network:
-    """Adam on shuffled batches of segments; the same sample gives the same weights."""
-    usable = [(lang, text.encode()) for lang, text in sample if has_letter(text)]
+def train(sample: list[tuple[str, bytes]], hidden: int = HIDDEN, steps: int = STEPS, epochs: int = EPOCHS, seed: int = 5) -> Network:
+    """Adam on shuffled batches of segments; the same sample gives the same weights. A segment of a shorter text is repeated."""
+    usable = [(lang, piece) for lang, piece in sample if piece]
     net = Network(sorted({lang for lang, _ in usable}), hidden)
     if len(net.langs) < 2:
         return net
     rng = np.random.Generator(np.random.PCG64(seed))
-    rows, labels = [], []
-    for lang, raw in usable:
-        for _ in range(segments):
-            at = int(rng.integers(0, max(1, len(raw) - steps + 1)))
-            piece = raw[at : at + steps]
-            rows.append(np.frombuffer((piece * (steps // len(piece) + 1))[:steps], np.uint8))
-            labels.append(net.langs.index(lang))
-    x, y = np.stack(rows), np.array(labels)
+    x = np.stack([np.frombuffer((piece * (steps // len(piece) + 1))[:steps], np.uint8) for _, piece in usable])
+    y = np.array([net.langs.index(lang) for lang, _ in usable])
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
     tick = 0
@@ -248,14 +260,14 @@ def identify(docs: DataFrame, net: Network, text_too: bool = False) -> DataFrame
 def keep_identified(docs: DataFrame, net: Network, least: float) -> DataFrame:
     """The rows of docs, all columns, whose text is identified with a score of at least `least`."""
     small_batches(docs.sparkSession)
-    names = docs.columns
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = _predict(net)
         for batch in batches:
-            thin = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch["text"]], names=["doc_id", "text"])
+            thin = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(at)], names=["doc_id", "text"])
             (said,) = predict(iter([thin]))
             keep = pa.array([lang != UND and score >= least for lang, score in zip(said["lang_pred"].to_pylist(), said["score"].to_pylist(), strict=True)], pa.bool_())
-            yield batch.filter(keep).select(names)
+            yield batch.filter(keep)
 
     return docs.mapInArrow(lean("language", run), docs.schema)
