@@ -4,13 +4,19 @@ Categories are predicted one after the other. Each model is a logistic regressio
 probabilities of the categories before it; those probabilities come, in training, from models that didn't see the
 row (out-of-fold predictions), so that later models learn how far earlier ones can be trusted.
 
+The categories are what the labels know: low_quality (quality 0), then toxic. No list of words is given; what
+marks a category is learned from the labelled rows of all languages.
+
 Training uses a bounded sample: at most `per_class` labelled documents of each class of the last category, the first by
 hash. Words are lower-case runs of ASCII letters, digits and other characters; the features are the words, and beginnings of
-words, found in at least `least_docs` sample documents, by exact 64-bit hash. Prediction reads every word of every text.
-
-Defined results: a null or empty text has no words, so it gets what the intercepts say; labels that are null, or whose
-document is missing, aren't learned from; without both classes in the sample all probabilities are the share of ones.
-An empty table gives no rows.
+words, found in at least `least_docs` sample documents, by exact 64-bit hash. They are taken from whole texts where
+the texts are, in training as in prediction; only hashes come to the driver.
+
+Defined results: a null or empty text has no words, so it gets what the intercepts say; rows whose toxic label is null, or whose
+document is missing, aren't learned from, and a null label of an earlier category counts as 0; without both classes of a
+category in the sample its probability is the share of ones. Labels that repeat a doc_id count once for each of their
+values, documents that repeat one up to the bound, ties in the order of their words; equal texts get equal probabilities, and each row of
+the input is a row of the result, whatever else is null or repeated. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.llm.common import lean, small_batches
-
 from tessella.llm.decontaminate import KEEP
 from tessella.llm.shingles import mix, power_tables, span_hashes, spans_and_hashes
 
@@ -32,9 +37,8 @@ LEAST_DOCS = 4
 #: Bytes of the beginnings that are features.
 BEGINNINGS = (5, 7)
 FOLDS = 5
-#: Labels know one category only; these narrower ones hold, among documents labelled toxic, where such a word occurs.
-SEEDS = {"insult": ("idiot", "moron", "stupid", "clown", "loser"), "contempt": ("trash", "scum", "worthless", "pathetic", "disgusting")}
-CATEGORIES = (*SEEDS, "toxic")
+#: Categories in the order of the chain, and the label value that means yes.
+CATEGORIES = {"low_quality": ("quality", 0), "toxic": ("toxic", 1)}
 
 
 def words_of(text: str | None) -> np.ndarray:
@@ -50,20 +54,29 @@ def words_of(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate(parts))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> list[tuple[int, str, int]]:
-    """(doc_id, text, toxic) of at most `per_class` documents of each class. Ids are ranked first, texts read for those alone."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class).select("doc_id", "toxic").distinct()
+def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, categories: dict[str, tuple[str, int]] = CATEGORIES) -> list[tuple[bytes, list[int]]]:
+    """(word hashes, values of the categories) of at most `per_class` documents of each class of the last category. Ids are
+    ranked first, texts read for those alone, and ranked once more where rows repeat an id."""
+    asked = [F.coalesce((F.col(c) == yes).cast("int"), F.lit(0) if k < len(categories) - 1 else F.lit(None).cast("int")).alias(name) for k, (name, (c, yes)) in enumerate(categories.items())]
+    last = list(categories)[-1]
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *asked).where(f"doc_id IS NOT NULL AND {last} IS NOT NULL").distinct()
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), *categories]
+    chosen = known.withColumn("rank", F.row_number().over(Window.partitionBy(last).orderBy(*order))).where(F.col("rank") <= per_class).drop("rank")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).where("text IS NOT NULL")
-    # At most two classes of per_class ids are broadcast; a piece of a very long text is enough to train on.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", F.substring("text", 1, 20000).alias("text"), "toxic")
-    return [(r.doc_id, r.text, r.toxic) for r in rows.orderBy("doc_id", "text", "toxic").collect()]
+    rows = texts.join(F.broadcast(chosen), "doc_id")  # two classes of per_class rows at most
+    hashed = rows.mapInArrow(lean("toxicity", _hashed(list(categories)), power_tables.clear), "doc_id long, digest long, words binary, " + ", ".join(f"{c} int" for c in categories))
+    bounded = hashed.withColumn("rank", F.row_number().over(Window.partitionBy(last).orderBy(*order, "digest"))).where(F.col("rank") <= per_class)
+    return [(bytes(r.words), [r[c] for c in categories]) for r in bounded.orderBy("doc_id", *categories, "digest").collect()]
 
 
-def weak_labels(text: str, toxic: int) -> list[int]:
-    found = set(text.encode().lower().translate(KEEP).split())
-    return [*(int(toxic and any(w.encode() in found for w in seeds)) for seeds in SEEDS.values()), toxic]
+def _hashed(categories: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [words_of(t.as_py()) for t in batch["text"]]
+            digests = [int(np.bitwise_xor.reduce(mix(w)).view(np.int64)) if len(w) else 0 for w in words]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(digests, pa.int64()), pa.array([w.tobytes() for w in words], pa.binary()), *(batch[c] for c in categories)], names=["doc_id", "digest", "words", *categories])
+
+    return run
 
 
 class Linear:
@@ -150,9 +163,9 @@ class Chain:
         return before
 
 
-def train(sample: list[tuple[int, str, int]]) -> Chain:
-    y = np.array([weak_labels(text, toxic) for _, text, toxic in sample], np.float64).reshape(len(sample), len(CATEGORIES))
-    return Chain(CATEGORIES).fit([words_of(text) for _, text, _ in sample], y)
+def train(sample: list[tuple[bytes, list[int]]], categories: dict[str, tuple[str, int]] = CATEGORIES) -> Chain:
+    y = np.array([values for _, values in sample], np.float64).reshape(len(sample), len(categories))
+    return Chain(tuple(categories)).fit([np.frombuffer(words, np.uint64) for words, _ in sample], y)
 
 
 def _predict(chain: Chain):
@@ -174,4 +187,4 @@ def toxicity(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def is_toxic(threshold: float = 0.5) -> Column:
-    return F.col(CATEGORIES[-1]) >= threshold
+    return F.col(list(CATEGORIES)[-1]) >= threshold
