@@ -6,17 +6,21 @@ A folder holds, for each part k of the ascending doc_id order,
   part-k.docs     int64 doc_ids
 and index.json with each part's counts and its base, the prefix sum of the tokens of all parts before it.
 
-Texts are encoded by the tokenizers library. Its normaliser and pre-tokeniser never join across ASCII white space, so
-that each distinct run of other bytes, by 64-bit hash, is encoded once a batch and remembered (the first MEMO runs of a
-worker). Runs of letters share a call, where each must come back as one pre-token; all others are encoded alone.
+Texts are encoded by the tokenizers library. The normaliser and pre-tokeniser that KNOWN describes never join across ASCII
+white space, so that under them each distinct run of other bytes is encoded once a batch and remembered (the first MEMO runs of a
+worker). Runs are found by 64-bit hash and compared byte by byte; where a hash stands for two runs, the batch is encoded
+text by text. Runs of letters share a call, where each must come back as one pre-token; all others are encoded alone. With
+any other tokenizer each text is encoded as it is.
 
 Every part is written under a name of its attempt and renamed when whole: a lost executor's task is simply run again.
-Defined results: null texts are empty and have the end id only; rows that repeat a doc_id are ordered by their ids;
-rows without doc_id come first, their id is null. An empty table makes an index without parts.
+Files are memory-mapped, so that the folder must be a mount that driver and executors share.
+Defined results: null texts are empty and have the end id only; rows that repeat a doc_id, or have none, are ordered by a
+hash of their texts; rows without doc_id come first, their id is null. An empty table makes an index without parts.
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 import os
 import uuid
@@ -30,14 +34,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.common import lean, small_batches
-
 from tessella.llm.shingles import power_tables, span_hashes
 
 END_ID = 1
 MEMO = 400_000
 BATCH = 1 << 20
-#: Documents aimed at for a part, and the most parts a folder gets.
-PART_DOCS, MOST_PARTS = 16_384, 4_096
+#: Documents aimed at for a part; the parts from which on parts grow instead, since the driver holds a row for each.
+PART_DOCS, MOST_PARTS = 16_384, 65_536
+#: Sampled rows for each bound between parts.
+BOUND_ROWS = 16
+#: Normaliser, pre-tokeniser and suffix under which runs between ASCII white space are encoded apart from each other.
+KNOWN = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "</w>",
+)
 BLANK, STOP, LETTER = (np.isin(np.arange(256), list(x)) for x in (b"\t\n\x0b\x0c\r ", b".,", b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -52,17 +69,22 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        size = max(self.tokenizer.get_vocab_size(), end_id + 1)
+        vocabulary = self.tokenizer.get_vocab()
+        size = max(end_id, *vocabulary.values()) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
+        made = json.loads(Path(path).read_text())
+        #: Whether runs between white space may be encoded apart.
+        self.apart = (made.get("normalizer"), made.get("pre_tokenizer"), made.get("model", {}).get("end_of_word_suffix")) == KNOWN
         #: Ids that end a pre-token.
         self.last = np.zeros(size, bool)
-        for token, k in self.tokenizer.get_vocab().items():
+        for token, k in vocabulary.items():
             self.last[k] = token.endswith("</w>")
-        # Remembered runs: sorted hashes, and where their ids are in flat.
+        # Remembered runs: sorted hashes, where their ids are in flat, and where their bytes are in raw.
         self.keys = np.zeros(0, np.uint64)
         self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, self.dtype)
+        self.raw_at, self.raw_size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.raw = np.zeros(0, self.dtype), np.zeros(0, np.uint8)
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -84,13 +106,17 @@ class Encoder:
                 sizes.append(np.array([len(ids) for ids in each], np.int64))
         return np.concatenate(flats), np.concatenate(sizes)
 
-    def lookup(self, hashes: np.ndarray, runs_at) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(at, size, flat) of distinct hashes; runs_at gives the bytes of those at some positions."""
+    def lookup(self, hashes: np.ndarray, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(at, size, flat) of distinct hashes, whose runs are buffer[start:end]; None if a hash is remembered for other bytes."""
         place = np.searchsorted(self.keys, hashes)
         place[place == len(self.keys)] = 0
         hit = self.keys[place] == hashes if len(self.keys) else np.zeros(len(hashes), bool)
+        old = place[hit]
+        if not same_runs(buffer, starts[hit], ends[hit] - starts[hit], self.raw, self.raw_at[old], self.raw_size[old]):
+            return None
         new = np.flatnonzero(~hit)
-        runs = runs_at(new)
+        joined = buffer.tobytes()
+        runs = [joined[i:j] for i, j in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
         # Words first: they share calls.
         other = np.array([not (r if r.isascii() else r.decode()).isalpha() for r in runs], bool)
         order = np.argsort(other, kind="stable")
@@ -98,16 +124,19 @@ class Encoder:
         new, runs = new[order], [runs[k] for k in order]
         made = [self.learn(runs[:words]), self.learn(runs[words:])]
         flat, sizes = np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
-        starts = np.cumsum(sizes) - sizes + len(self.flat)
+        first = np.cumsum(sizes) - sizes + len(self.flat)
         at, size = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
-        at[hit], size[hit] = self.at[place[hit]], self.size[place[hit]]
-        at[new], size[new] = starts, sizes
+        at[hit], size[hit] = self.at[old], self.size[old]
+        at[new], size[new] = first, sizes
         both = np.concatenate([self.flat, flat])
         if len(self.keys) + len(new) <= MEMO:
+            lengths = ends[new] - starts[new]
+            grown = [(self.at, first), (self.size, sizes), (self.raw_at, np.cumsum(lengths) - lengths + len(self.raw)), (self.raw_size, lengths)]
             keys = np.concatenate([self.keys, hashes[new]])
             order = np.argsort(keys, kind="stable")
-            self.keys, self.at, self.size = keys[order], np.concatenate([self.at, starts])[order], np.concatenate([self.size, sizes])[order]
-            self.flat = both
+            self.keys = keys[order]
+            self.at, self.size, self.raw_at, self.raw_size = (np.concatenate(pair)[order] for pair in grown)
+            self.flat, self.raw = both, np.concatenate([self.raw, np.frombuffer(b"".join(runs), np.uint8)])
         return at, size, both
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
@@ -125,19 +154,41 @@ class Encoder:
             yield from self._encode(batch)
 
     def _encode(self, batch: list[bytes]) -> Iterator[bytes]:
-        joined = b"\n".join(batch)
-        starts, ends, hashes = runs_of(np.frombuffer(joined, np.uint8))
+        buffer = np.frombuffer(b"\n".join(batch), np.uint8)
+        found = self._runs(buffer) if self.apart else None
+        if found is None:
+            for each in self.tokenizer.encode_batch_fast([raw.decode() for raw in batch], add_special_tokens=False):
+                yield np.array(each.ids, self.dtype).tobytes() + self.end
+            return
+        starts, at, size, flat = found
         bounds = np.searchsorted(starts, np.cumsum([0, *(len(x) + 1 for x in batch)]))
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        at, size, flat = self.lookup(distinct, lambda which: [joined[i:j] for i, j in zip(starts[first[which]].tolist(), ends[first[which]].tolist(), strict=True)])
-        sizes = size[inverse]
-        after = np.cumsum(sizes)
+        after = np.cumsum(size)
         total = int(after[-1]) if len(after) else 0
-        ids = flat[np.repeat(at[inverse] - (after - sizes), sizes) + np.arange(total)]
+        ids = flat[np.repeat(at - (after - size), size) + np.arange(total)]
         cuts = np.concatenate([[0], after])[bounds].tolist()
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             yield ids[a:b].tobytes() + self.end
 
+    def _runs(self, buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """(start, place in flat, number of ids, flat) of every run; None if two runs share a hash."""
+        starts, ends, hashes = runs_of(buffer)
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        again = np.flatnonzero(first[inverse] != np.arange(len(inverse)))
+        model, sizes = first[inverse[again]], ends - starts
+        if not same_runs(buffer, starts[again], sizes[again], buffer, starts[model], sizes[model]):
+            return None
+        told = self.lookup(distinct, buffer, starts[first], ends[first])
+        return told and (starts, told[0][inverse], told[1][inverse], told[2])
+
+
+def same_runs(a: np.ndarray, a_at: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_size: np.ndarray) -> bool:
+    """Whether the k-th runs of both buffers are equal, for all k."""
+    if not np.array_equal(a_size, b_size):
+        return False
+    before = np.cumsum(a_size) - a_size
+    step = np.arange(int(a_size.sum()))
+    return bool((a[np.repeat(a_at - before, a_size) + step] == b[np.repeat(b_at - before, a_size) + step]).all())
+
 
 def runs_of(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and 64-bit hashes of runs between ASCII white space. A single comma or full stop that ends a run
@@ -162,25 +213,35 @@ def encoder(path: str, end_id: int) -> Encoder:
     return _encoders[path, end_id]
 
 
-def part_bounds(docs: DataFrame) -> list[int]:
-    """First doc_ids of the parts after the first: quantiles of doc_id, the only column this reads."""
+def part_bounds(docs: DataFrame) -> list[tuple[int, int]]:
+    """(doc_id, hash of text) that begin the parts after the first: of a sample by hash, every so-manieth row in order.
+
+    About BOUND_ROWS rows for each of at most MOST_PARTS parts come to the driver."""
     counted = docs.select(F.count(F.lit(1)).alias("n")).first().n
     parts = min(MOST_PARTS, -(-counted // PART_DOCS))
     if parts < 2:
         return []
-    cuts = docs.select(F.percentile_approx(F.col("doc_id").cast("long"), [k / parts for k in range(1, parts)], 10 * parts + 1000).alias("cuts")).first().cuts
-    return sorted(set(cuts or []))
+    every = max(1, counted // (BOUND_ROWS * parts))
+    known = docs.where("doc_id IS NOT NULL" if every > 1 else "true")
+    rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(_id("doc_id").alias("id"), F.xxhash64("text").alias("digest")).collect()
+    rows = sorted((r.id, r.digest) for r in rows)
+    return sorted({rows[k * len(rows) // parts] for k in range(1, parts)}) if rows else []
+
+
+def _id(doc_id: str):
+    """The id as a number that orders rows without id first."""
+    return F.coalesce(doc_id, F.lit(-(1 << 63)))
 
 
-def _encode(path: str, end_id: int, bounds: list[int]):
+def _encode(path: str, end_id: int, bounds: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, cuts = encoder(path, end_id), np.array(bounds, np.int64)
+        made = encoder(path, end_id)
         for batch in batches:
             for a in range(0, batch.num_rows, 1024):  # bounds the memory beside the batch
                 part = batch.slice(a, 1024)
                 ids = list(made.encode(part["text"].to_pylist()))
-                places = np.searchsorted(cuts, part["doc_id"].fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
-                yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), part["doc_id"], pa.array(ids, pa.binary())], names=["part", "doc_id", "ids"])
+                places = [bisect.bisect_right(bounds, row) for row in zip(part["id"].to_pylist(), part["digest"].to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), part["id"], part["digest"], part["doc_id"], pa.array(ids, pa.binary())], names=["part", "id", "digest", "doc_id", "ids"])
 
     return run
 
@@ -238,8 +299,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     small_batches(docs.sparkSession)
     bounds = part_bounds(narrow)
     made = encoder(tokenizer, end_id)
-    encoded = narrow.mapInArrow(lean("tokens", _encode(tokenizer, end_id, bounds), forget), "part int, doc_id long, ids binary")
-    ordered = encoded.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "ids")
+    keyed = narrow.select("doc_id", _id("doc_id").alias("id"), F.xxhash64("text").alias("digest"), "text")
+    encoded = keyed.mapInArrow(lean("tokens", _encode(tokenizer, end_id, bounds), forget), "part int, id long, digest long, doc_id long, ids binary")
+    ordered = encoded.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "id", "digest", "ids").select("part", "doc_id", "ids")
     rows = sorted(ordered.mapInArrow(lean("tokens", _write(folder, made.dtype.itemsize), forget), "part long, docs long, tokens long, nulls long").collect())
     bases = np.cumsum([0, *(r.tokens for r in rows)]).tolist()
     index = {"dtype": made.dtype.str, "end_id": end_id, "tokens": bases[-1], "parts": [{"part": r.part, "docs": r.docs, "tokens": r.tokens, "nulls": r.nulls, "base": base} for r, base in zip(rows, bases[:-1], strict=True)]}
