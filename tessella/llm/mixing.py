@@ -7,11 +7,12 @@ slot j takes, in its pass j div n, the block that the source's permutation for t
 are joined by (source, block); a block holds at most `block_words` pieces of documents, so that no key is hot.
 
 A document's place in its source comes from prefix sums in two levels: over hash buckets of a source, then inside a
-bucket, so that a source with a third of all rows is still spread over BUCKETS tasks. Only per-source totals come to
-the driver.
+bucket, so that a source with a third of all rows is still spread over its buckets, of which there are more the more
+rows there are. Only per-source totals come to the driver; they are broadcast if they are proven to be small.
 
 Defined results: null texts have size 0 and are never taken; a null source is a source of its own, ordered last; rows
-without doc_id are ordered by size; an empty table gives no rows. Reruns take the same words.
+that share a doc_id or have none are ordered by a hash of their texts, and rows that also share text and source are
+interchangeable; an empty table gives no rows; other columns may have any names. Reruns take the same words.
 """
 
 from __future__ import annotations
@@ -23,27 +24,34 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import cut, lean, small_batches
+from tessella.llm.common import BROADCAST_BYTES, cut, free_name, lean, quoted, small_batches
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 BLOCK_WORDS = 64
-SHARDS = 64
-BUCKETS = 256
+#: Output shards, and the slots of one beyond which there are more of them.
+SHARDS, SHARD_SLOTS, MOST_SHARDS = 64, 1 << 22, 4096
+#: Hash buckets of a source at least, and the rows aimed at for one.
+BUCKETS, BUCKET_ROWS = 256, 1 << 20
 WORDS = r"[^\x20\x09-\x0D]+"
-#: Slots of one row before they are spread.
-CHUNK = 4096
+#: Slots of one row before they are spread, and rows of a task that spreads them.
+CHUNK, CHUNKS_PER_TASK = 4096, 16
 
 
 def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size, digest: a hash of the text, which tells rows without a doc_id of their own apart."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"), F.col("text").alias("text"))
-    return narrow.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"))
+    return narrow.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.xxhash64("text").alias("digest"))
 
 
-def source_totals(sizes: DataFrame) -> list[tuple[str | None, int]]:
-    """(source, words), by code point, null last: one row a source comes to the driver."""
-    rows = [(r.source, r.words) for r in sizes.groupBy("source").agg(F.sum("size").alias("words")).collect()]
-    return sorted(rows, key=lambda r: (r[0] is None, r[0] or ""))
+def words_in(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
+
+
+def source_totals(sizes: DataFrame) -> tuple[list[tuple[str | None, int]], int]:
+    """((source, words), by code point, null last; number of documents): one row a source comes to the driver."""
+    rows = sizes.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).collect()
+    return sorted([(r.source, r.words) for r in rows], key=lambda r: (r[0] is None, r[0] or "")), sum(r.n for r in rows)
 
 
 def targets(totals: list[int], weights: tuple[float, ...] = WEIGHTS, most: float = MOST_PASSES) -> list[float]:
@@ -99,16 +107,16 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def placed(sizes: DataFrame) -> DataFrame:
+def placed(sizes: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """sizes with `at`, the number of words before the document in its source."""
-    keyed = sizes.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int"))
+    keyed = sizes.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(buckets)).cast("int"))
     sums = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     base = sums.withColumn("base", F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "digest", "size").rowsBetween(Window.unboundedPreceding, -1)
     local = keyed.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     near = base.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "base")
     joined = local.join(near.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    return joined.select("doc_id", "source", "size", (F.col("base") + F.col("local")).alias("at"))
+    return joined.select("doc_id", "source", "size", "digest", (F.col("base") + F.col("local")).alias("at"))
 
 
 def _slots(blocks: list[int], seed: int):
@@ -130,30 +138,36 @@ def _slots(blocks: list[int], seed: int):
 class Mix:
     """The plan of a mix: per-source totals, targets and slot counts; its relations are lazy."""
 
-    def __init__(self, docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = 17, most: int = MOST_PASSES):
+    def __init__(self, docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, shards: int | None = None, seed: int = 17, most: int = MOST_PASSES):
         self.spark: SparkSession = docs.sparkSession
         small_batches(self.spark)
         self.block_words, self.seed = block_words, seed
         self.sizes = cut(sized(docs))  # no texts in it; every relation below starts here
-        named = source_totals(self.sizes)
+        named, self.documents_in = source_totals(self.sizes)
         self.names, self.totals = [s for s, _ in named], [n for _, n in named]
         self.targets = targets(self.totals, weights, most) if named else []
         self.blocks = [-(-n // block_words) for n in self.totals]
         mean = [n / b if b else 0.0 for n, b in zip(self.totals, self.blocks, strict=True)]
         expected = np.array([t / m if m else 0.0 for t, m in zip(self.targets, mean, strict=True)])
+        shards = shards or min(MOST_SHARDS, max(SHARDS, int(expected.sum()) // SHARD_SLOTS))
         self.counts = draw(expected, np.array([most * b for b in self.blocks], np.int64), shards, seed)
 
     def sources(self) -> DataFrame:
-        """(source, number, source_size, target)."""
+        """(source, number, source_size, target), with a broadcast hint if there are few enough."""
         rows = [(name, k, self.totals[k], self.targets[k]) for k, name in enumerate(self.names)]
-        return self.spark.createDataFrame(rows, "source string, number int, source_size long, target double")
+        made = self.spark.createDataFrame(rows, "source string, number int, source_size long, target double")
+        return F.broadcast(made) if sum(64 + len(name or "") for name in self.names) <= BROADCAST_BYTES else made
 
     def slots(self) -> DataFrame:
         """(shard, number, slot, block, turn): which block each slot of each shard takes."""
         first = np.cumsum(self.counts, axis=0) - self.counts
         rows = [(d, s, int(first[d, s]), int(self.counts[d, s])) for d in range(len(self.counts)) for s in range(len(self.names)) if self.counts[d, s]]
-        cells = self.spark.createDataFrame(rows, "shard int, number int, first long, slots long").repartition("shard", "number")
-        chunks = cells.select("shard", "number", "first", "slots", F.explode(F.sequence(F.lit(0), F.expr(f"(slots - 1) div {CHUNK}"))).alias("chunk")).repartition("shard", "number", "chunk")
+        cells = self.spark.createDataFrame(rows, "shard int, number int, first long, slots long")
+        # Counted tasks: these rows are few and small before they are exploded, so that sizes would put them in one.
+        chunks = -(-int(self.counts.sum()) // CHUNK) + len(rows)
+        tasks = max(1, min(chunks, max(self.spark.sparkContext.defaultParallelism, -(-chunks // CHUNKS_PER_TASK))))
+        split = cells.repartition(max(1, min(len(rows), tasks)), "shard", "number").select("shard", "number", "first", "slots", F.explode(F.sequence(F.lit(0), F.expr(f"(slots - 1) div {CHUNK}"))).alias("chunk"))
+        chunks = split.repartition(tasks, "shard", "number", "chunk")
         low = F.col("first") + F.col("chunk") * CHUNK
         high = F.least(low + CHUNK, F.col("first") + F.col("slots")) - 1
         each = chunks.select("shard", "number", F.explode(F.sequence(low, high)).alias("slot"))
@@ -161,15 +175,16 @@ class Mix:
 
     def documents(self) -> DataFrame:
         """(doc_id, source, size, at, number, source_size, target)."""
-        named = F.broadcast(self.sources().withColumnRenamed("source", "name"))  # one row a source
-        return placed(self.sizes).join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+        named = self.sources().withColumnRenamed("source", "name")
+        buckets = max(BUCKETS, -(-self.documents_in // BUCKET_ROWS))
+        return placed(self.sizes, buckets).join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
 
     def pieces(self, documents: DataFrame) -> DataFrame:
         """(number, at, size, doc_id, block, skip, words): the words [skip, skip + words) of a document that lie in a block."""
         w = self.block_words
-        split = documents.where("size > 0").select("number", "at", "size", "doc_id", F.explode(F.sequence(F.expr(f"at div {w}"), F.expr(f"(at + size - 1) div {w}"))).alias("block"))
+        split = documents.where("size > 0").select("number", "at", "size", "doc_id", "digest", F.explode(F.sequence(F.expr(f"at div {w}"), F.expr(f"(at + size - 1) div {w}"))).alias("block"))
         skip = F.greatest(F.lit(0), F.col("block") * w - F.col("at"))
-        return split.select("number", "at", "size", "doc_id", "block", skip.alias("skip"), (F.least(F.col("size"), (F.col("block") + 1) * w - F.col("at")) - skip).alias("words"))
+        return split.select("number", "at", "size", "doc_id", "digest", "block", skip.alias("skip"), (F.least(F.col("size"), (F.col("block") + 1) * w - F.col("at")) - skip).alias("words"))
 
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target, taken: one row per document."""
@@ -190,24 +205,24 @@ class Mix:
         white space, joined by a line feed. n_chars, if there is one, follows the text.
         """
         held = self.pieces(self.documents().where("size > 0")).join(self.slots().select("number", "block", "turn").hint("merge"), ["number", "block"])
-        runs = held.groupBy("number", "at", "size", "doc_id", "turn").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("skip", "words"))).alias("runs"))
-        plan = runs.groupBy("number", "at", "size", "doc_id").agg(F.sort_array(F.collect_list(F.struct("turn", "words", "runs"))).alias("takes"))
-        plan = plan.join(F.broadcast(self.sources().select("number", "source")), "number")
-        # Rows that repeat id, source and size share a key and are told apart by their order. Texts move once: the
-        # numbering and the join want the same partitioning.
-        wanted = plan.groupBy(_key("doc_id", "source", "size").alias("__key")).agg(F.sort_array(F.collect_list(F.struct("at", "takes"))).alias("__copies"))
-        words = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
-        names = docs.columns
-        counted = docs.withColumn("__size", words).where(F.col("__size") > 0).withColumn("__key", _key("doc_id", "source", "__size"))
-        counted = counted.withColumn("__copy", F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64("text"))))
-        takes = F.try_element_at("__copies", F.col("__copy"))["takes"].alias("__takes")
-        placed_rows = counted.join(wanted.hint("merge"), "__key").select(*names, "__size", takes).where("__takes IS NOT NULL")
-        return placed_rows.mapInArrow(lean("mixing", _texts(names)), docs.schema)
-
-
-def _key(doc_id: str, source: str, size: str) -> Column:
-    known = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
-    return F.unhex(F.md5(F.concat_ws(":", known(doc_id), F.col(size).cast("string"), known(source))))
+        runs = held.groupBy("number", "at", "size", "doc_id", "digest", "turn").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("skip", "words"))).alias("runs"))
+        plan = runs.groupBy("number", "at", "size", "doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("turn", "words", "runs"))).alias("takes"))
+        plan = plan.join(self.sources().select("number", "source"), "number")
+        key, size, copies, copy, mine = (free_name(docs, n) for n in ("_key", "_size", "_copies", "_copy", "_takes"))
+        # Only rows that repeat id, source and text share a key; they are interchangeable, and told apart by any order.
+        # Texts move once: the numbering and the join want the same partitioning.
+        wanted = plan.groupBy(_key("doc_id", "source", "digest").alias(key)).agg(F.sort_array(F.collect_list(F.struct("at", "takes"))).alias(copies))
+        names = [F.col(quoted(c)) for c in docs.columns]
+        counted = docs.withColumn(size, words_in(F.col("text"))).where(F.col(size) > 0).withColumn(key, _key(F.col("doc_id").cast("long"), "source", F.xxhash64("text")))
+        counted = counted.withColumn(copy, F.row_number().over(Window.partitionBy(key).orderBy(size)))
+        takes = F.try_element_at(copies, F.col(copy))["takes"].alias(mine)
+        placed_rows = counted.join(wanted.hint("merge"), key).select(*names, size, takes).where(F.col(mine).isNotNull())
+        return placed_rows.mapInArrow(lean("mixing", _texts(docs.columns)), docs.schema)
+
+
+def _key(doc_id: str | Column, source: str, digest: str | Column) -> Column:
+    known = lambda c: F.coalesce(F.concat(F.lit("="), (F.col(c) if isinstance(c, str) else c).cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat_ws(":", known(doc_id), known(digest), known(source))))
 
 
 def _texts(names: list[str]):
@@ -233,17 +248,19 @@ def _texts(names: list[str]):
             out.append("\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in joined))
         return out
 
+    text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             source, texts = [], []
-            for k, (text, size, takes) in enumerate(zip(batch["text"].to_pylist(), batch["__size"].to_pylist(), batch["__takes"].to_pylist(), strict=True)):
-                for made in cut(text, size, takes):
+            for k, (text, size, takes) in enumerate(zip(batch.column(text_at), batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)):
+                for made in cut(text.as_py(), size, takes):
                     source.append(k)
                     texts.append(made)
-            out = batch.select(names).take(pa.array(source, pa.int64()))
-            columns = {n: out[n] for n in names} | {"text": pa.array(texts, pa.string())}
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([len(t) for t in texts], pa.int64()).cast(columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
+            place = pa.array(source, pa.int64())
+            columns = [pa.array(texts, pa.string()) if k == text_at else batch.column(k).take(place) for k in range(len(names))]
+            if chars_at is not None:
+                columns[chars_at] = pa.array([len(t) for t in texts], pa.int64()).cast(batch.column(chars_at).type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
