@@ -2,7 +2,8 @@
 
 Regular expressions propose spans, validators confirm them (Luhn for cards, mod-97 for IBANs, ranges for addresses and
 digit counts), and words near a span move its score. Spans of the base kinds email, ip, card and phone are always kept
-once valid; those of the further kinds iban and ssn need a score of at least LEAST.
+once valid; those of the further kinds iban, ssn and secret need a score of at least LEAST. A secret is a value of 16
+characters or more, with letters and digits, that is assigned to a name such as token or password, or a key of a known form.
 
 Offsets come without a Python worker: matches are wrapped in a control character, which the text itself is rid of
 first (its occurrences become another control character, of the same length and in no pattern), the text is split
@@ -30,6 +31,8 @@ IBAN_LENGTHS = {
 }
 _KNOWN = "|".join(" ".join(IBAN_LENGTHS.values()).split())
 _IBANS = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+_TOKEN = "[A-Za-z0-9_+/-]"
+_NAMES = "token|api[_-]?key|access[_-]?key|secret[_-]?key|secret|passwo?r?d|pwd"
 #: kind -> pattern, in the order of the results. The first four are the base kinds.
 PATTERNS = {
     "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -38,6 +41,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBANS}|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+)(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
+    "secret": rf"(?<!{_TOKEN})(?:(?<=(?i:{_NAMES})[\"']?\x20{{0,2}}[:=]\x20{{0,2}}[\"']?){_TOKEN}{{16,}}+|(?:AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{36,}}+|sk-[A-Za-z0-9_-]{{20,}}+|xox[abprs]-[A-Za-z0-9-]{{20,}}+)(?!{_TOKEN}))",
 }
 BASE = ("email", "ip", "card", "phone")
 #: kind -> (score of a valid span, words that raise it when they stand before it).
@@ -48,10 +52,11 @@ SCORES = {
     "phone": (0.7, "phone|call|tel|mobile|fax"),
     "iban": (0.8, "iban|account|bank"),
     "ssn": (0.3, "ssn|social security|tax id"),
+    "secret": (0.7, "token|key|secret|password"),
 }
 RAISE, NEAR, LEAST = 0.25, 40, 0.5
-#: A character that must occur for a pattern to match; it spares the others the search.
-NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
+#: Strings of which one must occur for a pattern to match; it spares the others the search.
+NEEDS = {"email": ("@",), "ip": (".",), "phone": ("+",), "ssn": ("-",), "secret": ("=", ":", "AKIA", "gh", "sk-", "xox")}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _STEP = 64
 
@@ -87,6 +92,8 @@ def valid(kind: str, found: Column) -> Column:
         return F.length(digits).between(8, 15)
     if kind == "iban":
         return let(F.replace(found, F.lit(" "), F.lit("")), _mod97)
+    if kind == "secret":
+        return found.rlike("[0-9]") & found.rlike("[A-Za-z]")
     return F.lit(True)
 
 
@@ -139,7 +146,12 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     def marked(kind: str) -> Column:
         found = F.regexp_replace("clean", PATTERNS[kind], f"{MARK}$0{MARK}")
-        return F.when(F.contains(F.col("clean"), F.lit(NEEDS[kind])), found).otherwise(F.lit("")) if kind in NEEDS else found
+        if kind not in NEEDS:
+            return found
+        may = F.lit(False)
+        for needed in NEEDS[kind]:
+            may = may | F.contains(F.col("clean"), F.lit(needed))
+        return F.when(may, found).otherwise(F.lit(""))
 
     wrapped = clean.select("doc_id", *[marked(kind).alias(kind) for kind in PATTERNS])
     return wrapped.select("doc_id", F.concat(*[_spans(kind, F.col(kind)) for kind in PATTERNS]).alias("spans"))

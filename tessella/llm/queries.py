@@ -60,7 +60,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
     counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.BASE]
-    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"), (F.size("spans") > 0).alias("personal"))
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
