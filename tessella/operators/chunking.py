@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from tessella.functions import text as X
+
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
 
@@ -58,65 +60,84 @@ def tidy(text: str) -> str:
     return re.sub(r"[ \t]+\n", "\n", text).strip()
 
 
+def tidy_chunks(text: str | None, size: int = 1500, overlap: int = 300) -> list[str]:
+    """A text is cleaned before it is split, and each chunk once more."""
+    clean = tidy(text or "")
+    return [c for c in map(tidy, recursive_split(clean, size, overlap)) if c] if clean else []
+
+
 def recursive_chunks(docs: DataFrame, size: int = 1500, overlap: int = 300) -> DataFrame:
     """(doc_id, part, chunk, total_parts), parts counted from 1; null and blank texts give no rows."""
 
     @F.pandas_udf(ArrayType(StringType()))
     def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [c for c in map(tidy, recursive_split(t, size, overlap)) if c] if t else [])
+        return texts.map(lambda t: tidy_chunks(t, size, overlap))
 
     parts = docs.select("doc_id", split("text").alias("chunks"))
     return parts.select("doc_id", F.size("chunks").alias("total_parts"), F.posexplode("chunks").alias("part", "chunk")).withColumn("part", F.col("part") + 1)
 
 
 def merge_split(docs: DataFrame, size: int = 1500, overlap: int = 300, least: int = 100) -> DataFrame:
-    """Only texts over twice the size are split; `__p<i>` marks parts of several; short ones go after numbering."""
+    """Texts are cleaned; only those over twice the size are split; `__p<i>` marks parts of several; short ones go after
+    numbering. A text that the splitter leaves nothing of stays whole."""
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def split(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: tidy_chunks(t, size, overlap) or [t])
+
+    # Only long texts meet Python.
+    clean = docs.select("doc_id", X.clean_text(F.col("text")).alias("text")).where("text <> ''")
     long = F.length("text") > 2 * size
-    parts = recursive_chunks(docs.where(long), size, overlap)
-    whole = docs.where(~long).select("doc_id", F.lit(1).alias("total_parts"), F.lit(1).alias("part"), F.col("text").alias("chunk"))
-    rows = parts.unionByName(whole)
+    several = clean.where(long).select("doc_id", split("text").alias("chunks"))
+    parts = several.unionByName(clean.where(~long).select("doc_id", F.array("text").alias("chunks")))
+    rows = parts.select("doc_id", F.size("chunks").alias("total_parts"), F.posexplode("chunks").alias("part", "chunk")).withColumn("part", F.col("part") + 1)
     name = F.concat(F.col("doc_id").cast("string"), F.when(F.col("total_parts") > 1, F.concat(F.lit("__p"), F.col("part").cast("string"))).otherwise(F.lit("")))
     return rows.where(F.length("chunk") >= least).select(name.alias("chunk_id"), "doc_id", "part", "total_parts", "chunk")
 
 
 def split_sentences(text: str) -> list[str]:
-    """sentences end after ! and ? before white space; a full stop never ends one (trap Q3)."""
-    return [s.strip() for s in re.split(r"(?<=[!?])\s+", text) if s.strip()]
-
-
-def _windows(text: str, width: int = 1500, step: int = 1400) -> list[str]:
-    return [text[a : a + width] for a in range(0, max(1, len(text)), step) if text[a : a + width].strip()]
+    """white space becomes single blanks; sentences end after every ! and ?; a full stop ends one only as the first character (trap Q3)."""
+    flat = re.sub(r"\s+", " ", text)
+    found = re.findall(r"\A\.|[^!?]*[!?]|[^!?]+", flat)
+    return [s for s in map(str.strip, found) if s]
 
 
 def pack(parts: list[str], most: int) -> list[str]:
+    """Parts joined by blanks while they stay within most; a single part may be longer."""
     out: list[str] = []
     held = ""
     for part in parts:
         if held and len(held) + 1 + len(part) > most:
-            out.append(held)
+            out.append(held.strip())
             held = part
         else:
             held = f"{held} {part}" if held else part
-    return [*out, held] if held else out
+    return [*out, held.strip()] if held else out
 
 
-def force_split(text: str, most: int = 1500) -> list[str]:
-    """Sentences packed greedily; a single sentence by words; what is still too long in overlapping windows."""
+def force_split(text: str, most: int = 1500, overlap: int = 100) -> list[str]:
+    """Sentences packed greedily, and what is still too long in overlapping windows; a text of one sentence is packed by words alone."""
     if len(text) <= most:
-        return [text] if text.strip() else []
+        return [text]
     sentences = split_sentences(text)
-    packed = pack(sentences if len(sentences) > 1 else text.split(), most)
-    return [w for p in packed for w in (_windows(p) if len(p) > most else [p])]
+    if len(sentences) <= 1:
+        return pack(text.split(), most)
+    out: list[str] = []
+    for held in pack(sentences, most):
+        out += [held[a : a + most].strip() for a in range(0, len(held), most - overlap)] if len(held) > most else [held]
+    return out
 
 
 def merge_small(chunks: list[dict], most: int) -> list[dict]:
-    """Neighbours with the same parent and sub-clause join while their lengths stay within most."""
+    """Neighbours of the same parent and sub-clause join while their lengths stay within most. The blank between them isn't counted
+    for the pair at hand, but is part of what was joined before; the last page is the greater."""
     out: list[dict] = []
     for c in chunks:
-        if out and (out[-1]["parent"], out[-1]["sub"]) == (c["parent"], c["sub"]) and out[-1]["size"] + len(c["text"]) <= most:
-            out[-1] = out[-1] | {"text": f"{out[-1]['text']} {c['text']}", "size": out[-1]["size"] + len(c["text"])}
+        last = out[-1] if out else None
+        if last and all(last.get(k) == c.get(k) for k in ("parent_id", "subclause")) and len(last["text"]) + len(c["text"]) <= most:
+            out[-1] = last | {"text": f"{last['text']} {c['text']}", "page_end": max(last.get("page_end", 0), c.get("page_end", 0))}
         else:
-            out.append(c | {"size": len(c["text"])})
+            out.append(dict(c))
     return out
 
 

@@ -3,100 +3,99 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions import official as O
 from tessella.operators.chunking import force_split, merge_small
 
-CLAUSE = re.compile(r"(?:\A|\n)[ \t]*(\d+(?:\.\d+){0,3})\.[ \t\n]+")
-TABLE = re.compile(r"(?:\A|(?<=\n))[ \t]*(?:Table|Таблица)[ \t]+(\d+(?:[.-]\d+)*)", re.I)
-SUB = re.compile(r"(?:\A|\n)[ \t]*(\d+|[^\W\d_])\)[ \t\n]+")
-MARK = re.compile(r"\[PAGE (\d+)\]")
-ALPHABET = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+NUMBER = r"\d+(?:\.\d+){0,3}"
+CLAUSE = re.compile(rf"(?:^|\n)\s*({NUMBER})\.\s+")
+TABLE = re.compile(rf"(?:^|\n)\s*{O.TABLE}\s+({NUMBER})\s*", re.I)
+SUB = re.compile(r"(?:^|\n)\s*(\d+|[а-яё])\)\s+", re.I)
+MARK = re.compile(O.PAGE_MARK)
+CLAUSE_TITLE, TABLE_TITLE = re.compile(rf"{NUMBER}\.\s*(.+?)(?:\n|$)"), re.compile(rf"{O.TABLE}\s+{NUMBER}\s*(.+)", re.I)
+FOOTER, NOTE, ARTIFACT = re.compile("|".join(O.FOOTERS), re.I), re.compile(O.NOTES, re.I), re.compile(O.ARTIFACTS, re.I)
 SCHEMA = "chunk_id string, doc_id string, clause string, subclause string, title string, level int, parent_id string, has_children boolean, page_start int, page_end int, text string"
 
 
 def clean(text: str) -> str:
-    text = MARK.sub("", text).replace("\r", " ").replace("\xa0", " ")
-    text = re.sub(r"(\w)-[ \t]*\n[ \t]*(\w)", r"\1\2", text)
-    return re.sub(r"[ \t]+", " ", re.sub(r"\n{2,}", "\n", text)).strip()
+    """F05, for use inside the chunker, after page marks are gone."""
+    out = MARK.sub("", text).translate({13: " ", 160: " "})
+    out = FOOTER.sub("", ARTIFACT.sub(O.ARTIFACT_WORD, out))
+    out = re.sub(r"\n{3,}", "\n\n", re.sub(r"(\w)-\s*\n\s*(\w)", r"\1\2", out))
+    return re.sub(r"[ \t]+", " ", out).strip()
 
 
-def boundaries(text: str) -> list[tuple[int, int, str]]:
-    """(start, end of the heading, number) by offset. A number whose match starts right after a letter doesn't count:
-    the match begins at the line feed, so a line that ends in a letter hides the number below it (trap Q5)."""
-    found = [(m.start(), m.end(), m[1]) for m in CLAUSE.finditer(text) if not (m.start() > 0 and text[m.start() - 1].isalpha())]
-    found += [(m.start(), m.end(), f"table {m[1]}") for m in TABLE.finditer(text)]
-    return sorted(found)
+def edited(text: str) -> str:
+    """F05, then F06."""
+    return clean(NOTE.sub("", clean(text)))
 
 
-def sub_boundaries(block: str) -> list[tuple[int, int, str]]:
-    """Labels in order: a letter of the alphabet counts only if it lies after the last one less two; others always do."""
+def boundaries(text: str) -> list[tuple[int, str, bool]]:
+    """(offset, number, is a table) in order. A clause whose match starts right after a letter doesn't count: the match
+    begins at the line feed, so that a line which ends in a letter hides the number below it (trap Q5)."""
+    found = [(m.start(), m[1], False) for m in CLAUSE.finditer(text) if m.start() == 0 or not text[m.start() - 1].isalpha()]
+    return sorted([*found, *((m.start(), m[1], True) for m in TABLE.finditer(text))], key=lambda x: x[0])
+
+
+def sub_boundaries(block: str) -> list[tuple[int, str]]:
+    """(offset, label); a letter of the alphabet counts only if it comes after the last one less two, other labels always do."""
     out, last = [], -1
     for m in SUB.finditer(block):
-        at = ALPHABET.find(m[1])
-        if at >= 0:
-            if at <= last - 2:
-                continue
-            last = at
-        out.append((m.start(), m.end(), m[1]))
+        at = O.ALPHABET.find(m[1])
+        if at < 0 or at > last - 2:
+            out.append((m.start(), m[1]))
+            last = at if at >= 0 else last
     return out
 
 
-def _pages(text: str, default: tuple[int | None, int | None]) -> tuple[int | None, int | None]:
-    pages = [int(p) for p in MARK.findall(text)]
-    return (min(pages), max(pages)) if pages else default
+def pages(text: str, default: tuple[int, int]) -> tuple[int, int]:
+    found = [int(p) for p in MARK.findall(text)]
+    low, high = (min(found), max(found)) if found else (0, 0)
+    return (low if low > 0 else default[0], high if high > 0 else default[1])
 
 
 def clause_rows(text: str | None, doc: str, least: int = 50, intro_least: int = 30, most: int = 1500, table_most: int = 2000) -> Iterator[tuple]:
+    """The rows of one document, in order. Blocks keep their numbers and labels. Clauses and tables share the counter
+    that tells repeated numbers apart; a document without pages has 0 for them. A repeated label repeats its id (trap Q25),
+    and a clause whose text before its first label is short has no row of its own (trap Q26)."""
     text = (text or "").strip()
     if not text:
         return
-    every = _pages(text, (None, None))
+    every = pages(text, (0, 0))
 
-    def plain(body: str, title: str) -> Iterator[tuple]:
-        made = clean(body)
-        if len(made) >= least:
-            parts = force_split(made, most)
-            for k, part in enumerate(parts, 1):
-                yield (f"{doc}__0" if len(parts) == 1 else f"{doc}__0.{k}", doc, "0", None, title, 0, None, False, *_pages(body, every), part)
+    def rows(made: str, stem: str, clause: str, label: str | None, title: str, level: int, parent: str | None, children: bool, at: tuple[int, int], limit: int, merge: bool = True) -> Iterator[tuple]:
+        parts = [{"text": t, "page_end": at[1]} for t in force_split(made, limit)]
+        parts = merge_small(parts, limit) if merge else parts
+        for k, part in enumerate(parts, 1):
+            yield (stem if len(parts) == 1 else f"{stem}.{k}", doc, clause, label, title, level, parent, children, at[0], part["page_end"], part["text"])
 
     marks = boundaries(text)
-    if not marks:
-        yield from plain(text, "Document")
-        return
-    yield from plain(text[: marks[0][0]], "Introduction")
-    seen: dict[str, int] = {}
-    for (start, head, number), end in zip(marks, [*(m[0] for m in marks[1:]), len(text)], strict=True):
-        seen[number] = seen.get(number, 0) + 1
-        name = number if seen[number] == 1 else f"{number}_{seen[number]}"
-        parent, block = f"{doc}__{name}", text[start:end]
-        body = text[head:end]
-        pages = _pages(block, every)
-        title = clean(body.lstrip().split("\n", 1)[0])[:150] or f"Clause {number}"
-        subs = sub_boundaries(body)
-        if not subs:
-            made = clean(body)
-            if len(made) < least:
-                continue
-            limit = table_most if number.startswith("table") else most
-            parts = merge_small([{"parent": parent, "sub": None, "text": t} for t in force_split(made, limit)], limit)
-            for k, part in enumerate(parts, 1):
-                yield (parent if len(parts) == 1 else f"{parent}.{k}", doc, name, None, title, 1, None, False, *pages, part["text"])
-            continue
-        intro = clean(body[: subs[0][0]])
-        if len(intro) >= intro_least:
-            yield (parent, doc, name, None, title, 1, None, True, *pages, intro)
-        for (_, a, label), b in zip(subs, [*(s[0] for s in subs[1:]), len(body)], strict=True):
-            made = clean(body[a:b])
-            if len(made) < least:
-                continue
-            parts = force_split(made, most)
-            for k, part in enumerate(parts, 1):
-                yield (f"{parent}__{label}" if len(parts) == 1 else f"{parent}__{label}.{k}", doc, name, label, title, 2, parent, False, *_pages(body[a:b], pages), part)
+    head = text[: marks[0][0]].strip() if marks else text
+    made = clean(head)
+    if len(made) >= least:
+        yield from rows(made, f"{doc}__0", "0", None, O.INTRODUCTION if marks else O.WHOLE, 1, None, False, pages(head, every), most, merge=False)
+    seen: Counter = Counter()
+    for (start, number, table), end in zip(marks, [*(m[0] for m in marks[1:]), len(text)], strict=False):  # without marks, none
+        seen[number] += 1
+        clause = number if seen[number] == 1 else f"{number}_{seen[number]}"
+        stem, block = f"{doc}__{clause}", text[start:end].strip()
+        at = pages(block, every)
+        found = (TABLE_TITLE if table else CLAUSE_TITLE).search(block)
+        title = found[1].strip()[:150] if found else f"{O.TABLE if table else O.CLAUSE} {number}"
+        subs = sub_boundaries(block)
+        made = edited(block[: subs[0][0]].strip() if subs else block)
+        if made and len(made) >= (intro_least if subs else least):
+            yield from rows(made, stem, clause, None, title, 1, None, bool(subs), at, table_most if table and not subs else most)
+        for (a, label), b in zip(subs, [*(x[0] for x in subs[1:]), len(block)], strict=False):  # without subs, none
+            made = edited(block[a:b].strip())
+            if len(made) >= least:
+                yield from rows(made, f"{stem}__{label}", clause, label, title, 2, stem, False, at, most)
 
 
 def clause_chunks(docs: DataFrame, least: int = 50) -> DataFrame:
@@ -105,11 +104,8 @@ def clause_chunks(docs: DataFrame, least: int = 50) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [r for d, t in zip(frame["doc_id"], frame["text"], strict=True) for r in clause_rows(t, str(d), least)]
-            out = pd.DataFrame(rows, columns=names)
-            for c in ("page_start", "page_end"):
-                out[c] = out[c].astype("Int32")
-            yield out
+            rows = [r for d, t in zip(frame["doc_id"], frame["text"], strict=True) for r in clause_rows(t, str(d), least) if len(r[-1]) >= least]
+            yield pd.DataFrame(rows, columns=names)
 
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
 

@@ -36,13 +36,16 @@ def key(p: dict) -> tuple:
 
 
 def fronts(points: np.ndarray) -> list[list[int]]:
-    """Non-dominated fronts, more being better."""
-    left, out = list(range(len(points))), []
-    while left:
-        front = [i for i in left if not any((points[j] >= points[i]).all() and (points[j] > points[i]).any() for j in left)]
-        out.append(front)
-        left = [i for i in left if i not in set(front)]
-    return out
+    """Non-dominated fronts, more being better. Points go into the first front that doesn't dominate them, in descending order, in
+    which none is dominated by a later one."""
+    made: list[list[int]] = []
+    for i in np.lexsort(-points.T[::-1]).tolist():
+        p = points[i]
+        k = next((k for k, f in enumerate(made) if not ((points[f] >= p).all(axis=1) & (points[f] > p).any(axis=1)).any()), len(made))
+        if k == len(made):
+            made.append([])
+        made[k].append(i)
+    return [sorted(f) for f in made]
 
 
 def crowding(points: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text as X
 from tessella.functions import urls as U
-from tessella.operators import bm25, chunking, clauses, context, fusion, metrics, mining, relational, vectors
+from tessella.operators import ask, bm25, chunking, clauses, context, fusion, metrics, mining, relational, vectors
 from tessella.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,8 +29,7 @@ def asked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lexical(spark: SparkSession, d: str, k: int) -> DataFrame:
-    index = bm25.build_index(read(spark, d, "documents")).persist()
-    return bm25.retrieve(index, asked(spark, d), k)
+    return bm25.scan(read(spark, d, "documents"), asked(spark, d), k)
 
 
 @query
@@ -65,11 +64,7 @@ def vector_mean_similarity(spark, d):
 
 def two_lists(spark: SparkSession, d: str, k: int = 30) -> tuple[DataFrame, DataFrame]:
     """A BM25 list and a list by shared distinct words, over the same questions."""
-    docs = read(spark, d, "documents")
-    words = docs.select("doc_id", F.explode(F.array_distinct(X.tokens(F.lower("text")))).alias("w"))
-    wanted = asked(spark, d).select("qid", F.explode(F.array_distinct(X.tokens(F.lower("text")))).alias("w"))
-    overlap = words.join(wanted, "w").groupBy("qid", "doc_id").agg(F.count(F.lit(1)).alias("score"))
-    return lexical(spark, d, k), relational.top_k(overlap, ["qid"], [F.desc("score"), "doc_id"], k)
+    return lexical(spark, d, k), bm25.shared_terms(read(spark, d, "documents"), asked(spark, d), k)
 
 
 def _fused(spark, d, s):
@@ -171,7 +166,7 @@ def quality_metrics(spark, d):
 
 @query
 def page_marks(spark, d):
-    raw = F.concat(F.lit("[PAGE 3] "), F.col("text"), F.lit(" [PAGE "), (F.col("doc_id") % 9).cast("string"), F.lit("]"))
+    raw = F.concat(F.lit("<<<PAGE:3>>> "), F.col("text"), F.lit(" <<<PAGE:"), (F.col("doc_id") % 9).cast("string"), F.lit(">>>"))
     rows = read(spark, d, "documents").select("doc_id", raw.alias("raw"))
     return rows.select("doc_id", X.page_range(F.col("raw")).alias("r"), F.length(X.strip_page_marks(F.col("raw"))).alias("left_chars")).select("doc_id", F.col("r.low").alias("low"), F.col("r.high").alias("high"), "left_chars")
 
@@ -220,7 +215,8 @@ def context_pack(spark, d):
 
 @query
 def context_build(spark, d):
-    built = context.docs_to_context(source_blocks(spark, d))
+    rows = source_blocks(spark, d).select("qid", "rank", F.col("block").alias("text"), F.lit("").alias("work_code"), F.concat(F.lit("Doc Часть "), F.col("rank").cast("string")).alias("title"), F.col("qid").alias("source"))
+    built = context.docs_to_context(rows)
     return built.select("qid", F.length("context").alias("chars"), F.md5("context").alias("digest"), "blocks")
 
 
@@ -247,7 +243,8 @@ def sentence_chunks(spark, d):
 
 @query
 def clause_chunks(spark, d):
-    numbered = F.concat_ws("\n", F.transform(F.split("text", "\n"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    numbered = F.concat_ws("\n", F.transform(lines, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)))
     return clauses.clause_chunks(read(spark, d, "documents").select("doc_id", numbered.alias("text")))
 
 
@@ -356,7 +353,233 @@ def norm_text_assembly(spark, d):
     by_part = lines.groupBy("l_partkey").agg(F.sort_array(F.collect_list(resource)).alias("r"))
     part = read(spark, d, "part").join(by_part, F.col("p_partkey") == F.col("l_partkey"), "left")
     resources = F.transform("r", lambda r: F.struct(r["code"].alias("code"), r["name"].alias("name"), r["qty"].alias("qty")))
-    none = F.array().cast("array<struct<nr:string,sp:string>>")
+    reasons = F.when(F.col("p_size") % 2 == 0, F.array(F.struct(F.col("p_size").cast("string").alias("nr"), F.lit("").alias("sp")), F.struct(F.lit("").alias("nr"), F.lit("").alias("sp")), F.struct(F.lit("").alias("nr"), F.col("p_brand").alias("sp"))))
     code = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
-    body = readers.norm_text(F.col("p_name"), F.col("p_type"), F.lit("T"), code, F.col("p_brand"), F.array("p_brand", "p_type", "p_brand"), resources, none)
+    title = readers.norm_title(F.col("p_name"), F.col("p_type"), F.lit("T"), code)
+    items = F.when(F.col("p_size") % 3 > 0, F.array("p_brand", F.lit(" "), "p_type", "p_brand")).otherwise(F.array().cast("array<string>"))
+    body = readers.norm_text(title, code, F.col("p_brand"), F.lit("B"), F.col("p_size").cast("string"), F.lit("T"), items, resources, reasons)
     return part.select("p_partkey", F.length(body).alias("chars"), F.md5(body).alias("digest"))
+
+
+@query
+def clean_page_b(spark, d):
+    """F05-F07 over texts with stamps, footers, notes, artefacts and hyphens put in."""
+    raw = F.concat(F.lit("Страница 3 из 9\r\n"), F.replace(F.col("text"), F.lit(". "), F.lit(" (в редакции 2020) -\n\n\n\n")), F.lit("\n©бщая  docs.cntd.ru часть-\n ная\n \nfgiscs.minstroyrf.ru x\nend"))
+    rows = read(spark, d, "documents").select("doc_id", raw.alias("raw"))
+    return rows.select("doc_id", F.md5(X.clean_page(F.col("raw"))).alias("page"), F.md5(X.drop_notes(F.col("raw"))).alias("edited"), F.md5(X.drop_stamps(F.col("raw"))).alias("unstamped"))
+
+
+@query
+def official_documents(spark, d):
+    """Each line of a document is a page of its file."""
+    pages = read(spark, d, "documents").select(F.concat(F.lit("/x/doc_"), F.col("doc_id").cast("string"), F.lit("-a.pdf")).alias("path"), F.posexplode(F.split("text", "\n")).alias("page", "text"))
+    made = pages.select("path", (F.col("page") + 1).alias("page"), "text", F.when(F.col("page") % 5 == 4, F.lit("ocr")).otherwise(F.lit("text")).alias("mode"), F.when(F.col("page") == 0, F.col("text")).alias("head"))
+    return readers.documents_of_pages(made).select("doc_id", "source", "title", "extraction", F.md5("text").alias("digest"))
+
+
+@query
+def qa_merge(spark, d):
+    """Records of JSON lines, some of them bad, to chunks."""
+    pairs = mining.qa_pairs(read(spark, d, "conversations"), 1, 1)
+    url = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("https://x.org/a/questions/"), F.col("turn").cast("string"), F.lit("/"), F.col("conv_id").cast("string"))).otherwise(F.lit(""))
+    value = F.when(F.col("conv_id") % 7 == 0, F.lit("[1]")).otherwise(F.to_json(F.struct(F.substring("question", 1, 300).alias("question"), F.substring("answer", 1, 300).alias("answer"), url.alias("source"))))
+    lines = pairs.select(F.lit("f").alias("file"), (F.col("conv_id") * 100 + F.col("turn")).alias("line"), value.alias("value"))
+    records = readers.qa_records(lines, U.question_id)
+    return readers.qa_chunks(records, "gge").select("chunk_id", "text", "source", "title", "qa_id", "line_num", "part_number", "total_parts")
+
+
+@query
+def qa_counts(spark, d):
+    """A07."""
+    turns = read(spark, d, "conversations")
+    value = F.when(F.col("turn") % 4 == 3, F.lit("{bad")).otherwise(F.to_json(F.struct(F.col("text").alias("question"), F.when(F.col("role") == "user", F.lit(" ")).otherwise(F.col("text")).alias("answer"))))
+    return readers.counts(readers.qa_records(turns.select(F.col("role").alias("file"), "turn", F.col("turn").alias("line"), value.alias("value")), U.slug))
+
+
+@query
+def unseen_urls(spark, d):
+    """S23, J04."""
+    pages = read(spark, d, "pages").select("page_id", U.normalise(F.col("url")).alias("url"))
+    return readers.unseen(pages, pages.where("page_id % 3 = 0")).select("page_id", "url")
+
+
+@query
+def training_pairs(spark, d):
+    """Combined texts and separate fields; one file is sampled."""
+    pairs = mining.qa_pairs(read(spark, d, "conversations"), 1, 1)
+    combined = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("Вопрос: "), F.col("question"), F.lit(" Ответ: "), F.col("answer")))
+    rows = pairs.select(F.when(F.col("conv_id") % 2 == 0, F.lit("a.jsonl")).otherwise(F.lit("b.jsonl")).alias("file"), "question", "answer", combined.alias("text"))
+    return readers.training_pairs(rows, {"b.jsonl": 0.15}).select(F.md5("question").alias("question"), F.md5("answer").alias("answer"))
+
+
+@query
+def training_split(spark, d):
+    """L11."""
+    pairs = mining.qa_pairs(read(spark, d, "conversations"), 1, 1).select(F.md5("question").alias("q"), F.md5("answer").alias("a")).distinct()
+    return mining.split_exact(pairs, ["q", "a"])
+
+
+@query
+def synthetic_negatives(spark, d):
+    """V23, P12, with a generator that turns the answer's lines round and fails on every seventh answer by length."""
+    pairs = mining.qa_pairs(read(spark, d, "conversations"), 1, 1).select(F.col("question").alias("query"), F.col("answer").alias("document"), F.lit(1).alias("label")).distinct()
+    generate = lambda q, a: F.when(F.length(a) % 7 > 0, F.concat(F.reverse(a), F.lit("\n \n"), q, F.lit("\n"), F.reverse(q), F.lit(" "), F.reverse(a)))
+    return mining.synthetic_negatives(pairs, generate).select(F.md5("query").alias("query"), F.md5("document").alias("document"), "label")
+
+
+@query
+def training_set(spark, d):
+    """Positives, mined, synthetic and random negatives of questions and answers, by split."""
+    pairs = mining.qa_pairs(read(spark, d, "conversations")).select("question", "answer").distinct()
+
+    def lists(find):
+        def mined(positive: DataFrame, corpus: DataFrame) -> DataFrame:
+            known = mining.numbered(corpus.select(F.col("document").alias("doc_id"))).select(F.col("number").alias("doc_id"), F.col("doc_id").alias("document"))
+            asked = positive.select(F.col("query").alias("qid"), F.col("query").alias("text")).distinct()
+            found = find(known.select("doc_id", F.col("document").alias("text")), asked, 150)
+            ranked = found.join(known, "doc_id").select("qid", F.col("document").alias("doc_id"), "rank")
+            best = positive.select(F.col("query").alias("qid"), F.col("document").alias("doc_id"))
+            return mining.hard_negatives(ranked, best).select(F.col("qid").alias("query"), F.col("doc_id").alias("document"))
+
+        return mined
+
+    made = mining.training_set(pairs, lists(bm25.shared_terms), lists(bm25.scan), lambda q, a: F.concat(F.reverse(a), F.lit(" "), F.reverse(a)))
+    return made.select(F.md5("query").alias("query"), F.md5("document").alias("document"), "label", "is_train")
+
+
+@query
+def label_counts(spark, d):
+    """Over labels as pairs of a source and a document."""
+    pairs = read(spark, d, "labels").join(read(spark, d, "documents").select("doc_id", "source"), "doc_id").select(F.col("source").alias("query"), F.col("doc_id").alias("document"), F.col("toxic").alias("label"))
+    grouped = ask.grouped_labels(pairs).select("query", F.array_join(F.col("documents").cast("array<string>"), ",").alias("documents"), F.array_join(F.col("labels").cast("array<string>"), ",").alias("labels"))
+    return grouped.crossJoin(metrics.label_counts(pairs))
+
+
+QUESTION_OF = lambda p: F.regexp_extract(p, r"Вопрос: ([^\n]*)", 1)
+
+
+def asked_and_answered(spark: SparkSession, d: str) -> DataFrame:
+    """V18 over the benchmark's items, by a generator that repeats the question."""
+    docs = read(spark, d, "documents")
+    chunks = docs.select("doc_id", "text", F.lit("").alias("work_code"), F.concat(F.lit("T "), F.col("source"), F.lit(" Часть 1")).alias("title"), "source", F.col("lang").alias("clause"), F.lit(None).cast("string").alias("page"))
+    s = fusion.Settings(bm25_k=30, vec_k=30, rrf_k=60, rerank_k=20, threshold=0.3, final_k=5)
+    questions = asked(spark, d).select("qid", F.col("text").alias("question"))
+    return ask.ask(questions, *two_lists(spark, d), chunks, coverage_scorer(spark, d), s, QUESTION_OF)
+
+
+@query
+def ask_answers(spark, d):
+    made = asked_and_answered(spark, d)
+    return made.select("qid", "answer", "docs_count", F.size("sources").alias("n_sources"), F.md5(F.array_join("contexts", "|")).alias("contexts"), "meta.mode", "meta.bm25", "meta.vec", F.array_join(F.transform("meta.top_scores", lambda x: F.format_string("%.4f", x)), ",").alias("top_scores"))
+
+
+@query
+def rag_triad(spark, d):
+    """V19 by hashed words; every second question has a reference."""
+    known = asked(spark, d).where("qid % 2 = 0").select(F.col("text").alias("question"), F.concat_ws(" ", "text", "text").alias("reference"))
+    made = asked_and_answered(spark, d)
+    results = ask.referenced(made.select("qid", "question"), known).join(made.drop("question"), "qid")
+    out = ask.triad(results, vectors.hashed)
+    return out.select("qid", *[F.round(c, 6).alias(c) for c in ("context_relevance", "faithfulness", "answer_relevance")])
+
+
+@query
+def faithfulness(spark, d):
+    """V17 by a judge to whom a sentence is unsupported in so far as it is long."""
+    rows = read(spark, d, "documents").select(F.col("doc_id").alias("qid"), F.regexp_replace("text", r"([.!?]) ", "$1\" ").alias("answer"), F.array("source", "lang").alias("contexts"))
+    return ask.judged(rows, lambda s, c: F.least(F.lit(1.0), F.length(s) / 400 + F.length(c) / 1000)).select("qid", F.round("faithfulness", 6).alias("faithfulness"))
+
+
+TRIALS = [(1, 30, 30, 60, 20, 0.3, 5, "rrf", 0.5, "fixed", 0.05), (2, 10, 30, 20, 10, 0.5, 3, "weighted", 0.4, "fixed", 0.05), (3, 30, 5, 60, 25, 0.0, 8, "rrf", 0.5, "adaptive", 0.6), (4, 20, 20, 60, 40, 0.0, 4, "weighted", 0.9, "adaptive", 0.4)]
+
+
+@query
+def trial_metrics(spark, d):
+    """Four trials over all questions in one plan."""
+    lists = two_lists(spark, d)
+    trials = spark.createDataFrame(TRIALS, ask.FIELDS)
+    scores = coverage_scorer(spark, d)(lists[0].select("qid", "doc_id").unionByName(lists[1].select("qid", "doc_id")).distinct())
+    found = ask.trial_documents(trials, *lists, scores)
+    return ask.trial_metrics(trials, found, scores.select("qid", "doc_id", (F.col("rr_score") * F.col("rr_score")).alias("relevance")), asked(spark, d))
+
+
+@query
+def leading_scores(spark, d):
+    """Of each source the documents before the first under 300 characters."""
+    rows = read(spark, d, "documents").select(F.col("source").alias("qid"), "doc_id", "n_chars")
+    return ask.leading(rows, "doc_id", F.col("n_chars") >= 300)
+
+
+@query
+def embedding_fill(spark, d):
+    """A store knows the texts of every third document."""
+    docs = read(spark, d, "documents").select("doc_id", F.substring("text", 1, 60).alias("text"))
+    store = docs.where("doc_id % 3 = 0").select("text", F.array(F.lit(1.0), F.length("text").cast("double")).alias("embedding"))
+    made = vectors.filled(docs, store, lambda t: F.array(F.lit(0.0), F.length(t).cast("double")))
+    return made.select(F.md5("text").alias("text"), F.element_at("embedding", 1).alias("stored"), F.element_at("embedding", 2).alias("size"))
+
+
+@query
+def answer_finish(spark, d):
+    """F12, F24 over conversations."""
+    rows = read(spark, d, "conversations")
+    draft = X.drafted(F.concat(F.lit("\n \nисточники \nx\n\n\n\nВопрос: a b\n"), F.coalesce("text", F.lit(""))))
+    source = lambda k: X.source_label(F.when(F.col("turn") % 2 == k, F.lit("01-02")).otherwise(F.lit("")), F.concat(F.col("role"), F.lit(" Часть 2")), F.when(F.col("turn") % 3 > 0, F.lit(" f.pdf ")).otherwise(F.lit("")), F.when(F.col("turn") % 4 > k, F.lit("3.1")), F.col("turn"))
+    return rows.select("conv_id", "turn", F.md5(X.finish_answer(draft, F.array(source(0), source(1), source(0)))).alias("answer"))
+
+
+@query
+def metadata_values(spark, d):
+    """F02."""
+    e = read(spark, d, "events")
+    return e.select("event_id", X.coerced(F.array("event_type", F.lit(None).cast("string")), "array<string>").alias("listed"), X.coerced(F.col("value"), "double").alias("number"), X.coerced(F.col("ts").cast("date"), "date").alias("day"))
+
+
+@query
+def parent_texts(spark, d):
+    """A document's parent is that of half its number."""
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), F.when(F.col("doc_id") % 5 > 0, F.floor(F.col("doc_id") / 2)).cast("long").alias("parent_id"), F.md5("text").alias("text"))
+    return ask.with_parents(docs)
+
+
+def measured(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as trials with three metrics and parameters."""
+    o = read(spark, d, "orders")
+    part = lambda m: F.round((F.col("o_totalprice") * 100 % m) / m, 3)
+    return o.select(F.col("o_orderkey").alias("trial"), part(977).alias("cr"), F.when(F.col("o_orderkey") % 50 > 0, part(911)).alias("faith"), part(853).alias("ar"), F.lit(30).alias("bm25_k"), F.lit(20).alias("vec_k"), F.lit(60).alias("rrf_k"), F.lit(10).alias("rerank_k"), F.lit(0.05).alias("threshold"), (F.col("o_custkey") % 6 + 1).cast("int").alias("final_k"), part(100).alias("alpha"), F.lit("fixed").alias("mode"), F.lit(0.1).alias("adaptive"), F.col("o_orderpriority").alias("model"))
+
+
+def weighed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("score", F.round(X.weighted_score(F.col("cr"), F.col("faith"), F.col("ar")), 6))
+
+
+@query
+def generation_metrics(spark, d):
+    return metrics.generation_metrics(measured(spark, d), 28, ["cr", "faith", "ar"])
+
+
+@query
+def final_k_boxes(spark, d):
+    return metrics.boxes(weighed(measured(spark, d)), "final_k", "score")
+
+
+@query
+def model_medians(spark, d):
+    """After the outlier filter."""
+    return metrics.by_median(metrics.boxes(metrics.iqr_filter(weighed(measured(spark, d)).where("score IS NOT NULL"), "model", "score"), "model", "score"), "model")
+
+
+@query
+def search_convergence(spark, d):
+    return metrics.convergence(metrics.generation_stats(weighed(measured(spark, d)), 280)).select("generation", "best_score", "best_so_far", "raised")
+
+
+@query
+def trial_history(spark, d):
+    rows = measured(spark, d)
+    return metrics.trial_history(rows, 28, X.weighted_score(F.col("cr"), F.col("faith"), F.col("ar"))).withColumnRenamed("W-Score", "w_score")
+
+
+@query
+def search_report(spark, d):
+    return metrics.search_report(weighed(measured(spark, d)), "score", 1.5)

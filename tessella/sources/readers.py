@@ -1,15 +1,21 @@
-"""Sources with explicit schemas and tolerant or strict reading."""
+"""Sources with explicit schemas and tolerant or strict reading."""
 
 from __future__ import annotations
 
+import csv
+import io
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessella.functions import official as O
 from tessella.functions import text as X
+from tessella.functions import urls as U
+from tessella.operators.chunking import tidy
 
 CHUNK = "chunk_id string, text string, source string, question string, answer string, metadata map<string,string>"
 OPTIONAL = ("work_code", "question", "answer", "title", "clause", "subclause", "clause_hierarchy", "clause_title", "extraction", "section", "subsection")
@@ -46,118 +52,340 @@ def normalised(rows: DataFrame) -> DataFrame:
     )
 
 
-def qa_csv(spark: SparkSession, path: str) -> DataFrame:
-    """(row, question, answer, url); rows are counted from 1 over all rows, then empty ones go."""
-    raw = spark.read.schema("Question string, Answer string, URL string").csv(path, header=True, multiLine=True, quote='"', escape='"')
-    clean = raw.select((F.monotonically_increasing_id() + 1).alias("row"), X.clean_text(F.col("Question")).alias("question"), X.clean_text(F.col("Answer")).alias("answer"), F.col("URL").alias("url"))
-    return clean.where("question <> '' AND answer <> ''")
-
-
-NORM_XML = (
-    "_BaseName string, Section array<struct<_Type string, _Code string, _Name string, NameGroup array<struct<_BeginName string,"
-    " Work array<struct<_Code string, _EndName string, _MeasureUnit string, Content struct<Item array<struct<_Text string>>>,"
-    " Resources struct<Resource array<struct<_Code string, _EndName string, _Quantity string>>>,"
-    " NrSp struct<ReasonItem array<struct<_Nr string, _Sp string>>>>>>>>>"
-)
+def qa_csv(spark: SparkSession, path: str, id_of: Callable[[Column], Column] = U.question_id) -> DataFrame:
+    """(file, row, question, answer, url, qa_id) of rows with both. Rows are counted from 1 over all rows of their file, empty ones
+    too; the id comes from the URL, else it is that number. A file is read by one task, as quoted line feeds ask for."""
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for at, content in zip(frame["path"], frame["content"], strict=True):
+                text = bytes(content).decode("utf-8-sig", errors="replace")
+                rows += [(at, n, r.get("Question"), r.get("Answer"), r.get("URL")) for n, r in enumerate(csv.DictReader(io.StringIO(text, newline="")), 1)]
+            yield pd.DataFrame(rows, columns=["file", "row", "question", "answer", "url"])
+
+    raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, row long, question string, answer string, url string")
+    clean = raw.select("file", "row", X.clean_text(F.col("question")).alias("question"), X.clean_text(F.col("answer")).alias("answer"), X.strip(F.col("url")).alias("url"))
+    named = clean.withColumn("qa_id", F.coalesce(F.nullif(id_of(F.col("url")), F.lit("")), F.col("row").cast("string")))
+    return named.where("question <> '' AND answer <> ''")
+
+
+def norm_title(begin: Column, end: Column, table: Column, code: Column) -> Column:
+    """S10d: the name's beginning and end, else the table's name, else the code."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    both = X.strip(F.concat_ws(" ", text(begin), text(end)))
+    return F.when(both != "", both).when(text(table) != "", text(table)).otherwise(text(code))
+
+
+def norm_text(title: Column, code: Column, unit: Column, base: Column, table_code: Column, table: Column, items: Column, resources: Column, reasons: Column) -> Column:
+    """S10a-c: the composite text of a norm. Items keep their repetitions; what is missing is said to be."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    listed = F.array_join(F.filter(F.transform(items, X.strip), lambda x: x != ""), "\n")
+
+    def resource(r: Column) -> Column:
+        left = X.strip(F.array_join(F.filter(F.array(text(r["code"]), text(r["name"])), lambda p: p != ""), " "))
+        return F.when((left != "") | (text(r["qty"]) != ""), F.regexp_replace(F.concat(left, F.lit(" — "), text(r["qty"])), "^[ —]+|[ —]+$", ""))
+
+    def reason(r: Column) -> Column:
+        both = X.strip(F.concat(F.lit("Норма: "), text(r["nr"]), F.lit(", Спецификация: "), text(r["sp"])))
+        return F.when((text(r["nr"]) != "") | (text(r["sp"]) != ""), F.regexp_replace(both, "^,+|,+$", ""))
+
+    each = lambda xs, f, kind: F.array_compact(F.transform(F.coalesce(xs, F.array().cast(kind)), f))
+    used = F.array_join(each(resources, resource, "array<struct<code:string,name:string,qty:string>>"), "; ")
+    why = F.array_join(each(reasons, reason, "array<struct<nr:string,sp:string>>"), " | ")
+    given = lambda c: F.when(c != "", c).otherwise(F.lit(O.ABSENT))
+    lines = [
+        X.strip(F.concat(F.lit("НОРМАТИВ: "), text(code), F.lit(" "), title)),
+        X.strip(F.concat(F.lit("Единица измерения: "), text(unit))),
+        X.strip(F.concat(F.lit("Сборник: "), text(base), F.lit(" | Таблица "), text(table_code), F.lit(" "), text(table))),
+        *[x for head, body in (("СОДЕРЖАНИЕ РАБОТЫ", listed), ("РЕСУРСЫ", used), ("НОРМАТИВНЫЕ ССЫЛКИ", why)) for x in (F.lit(""), F.lit(f"{head}:"), given(body))],
+    ]
+    return X.strip(F.array_join(F.array(*lines), "\n"))
+
+
+def norms_xml(spark: SparkSession, path: str, kind: str = O.TABLE) -> DataFrame:
+    """Works of table sections at any depth of `base` roots, numbered over sorted files. A name group in a section in a section
+    belongs to both (trap Q21). Numbers are prefix sums over the files' counts; only one row a file goes through one task."""
+    import xml.etree.ElementTree as ET
+
+    fields = "file string, base_name string, place long, work_code string, title string, table_code string, measure string, text_parts struct<table_name:string,items:array<string>,resources:array<struct<code:string,name:string,qty:string>>,reasons:array<struct<nr:string,sp:string>>>"
+
+    def works(name: str, content: bytes) -> Iterator[dict]:
+        try:
+            root = ET.fromstring(content)
+        except ET.ParseError:
+            return
+        if root.tag.split("}")[-1].lower() != "base":
+            return
+        place = 0
+        for table in root.iterfind(".//Section"):
+            if table.get("Type") != kind:
+                continue
+            for group in table.iterfind(".//NameGroup"):
+                for work in group.iterfind("Work"):
+                    get = work.get
+                    yield {
+                        "file": name, "base_name": root.get("BaseName", name), "place": place, "work_code": get("Code", ""), "measure": get("MeasureUnit", ""),
+                        "title": f"{group.get('BeginName', '')}\0{get('EndName', '')}", "table_code": table.get("Code", ""),
+                        "text_parts": {
+                            "table_name": table.get("Name", ""),
+                            "items": [x.get("Text", "") for x in work.iterfind(".//Content/Item")],
+                            "resources": [{"code": x.get("Code", ""), "name": x.get("EndName", ""), "qty": x.get("Quantity", "")} for x in work.iterfind(".//Resources/Resource")],
+                            "reasons": [{"nr": x.get("Nr", ""), "sp": x.get("Sp", "")} for x in work.iterfind(".//NrSp/ReasonItem")],
+                        },
+                    }
+                    place += 1
 
-def norm_text(begin: Column, end: Column, table: Column, code: Column, unit: Column, items: Column, resources: Column, reasons: Column) -> Column:
-    """S10a-d: the composite text of a norm, from its title, unit, contents, resources and reasons."""
-    title = X.first_nonempty(F.concat_ws(" ", F.nullif(X.strip(begin), F.lit("")), F.nullif(X.strip(end), F.lit(""))), table, code)
-    listed = F.array_join(X.uniq(items), "\n")
-    each = F.transform(F.coalesce(resources, F.array().cast("array<struct<code:string,name:string,qty:string>>")), lambda r: F.regexp_replace(F.concat_ws(" — ", F.concat_ws(" ", r["code"], r["name"]), r["qty"]), "^[ —]+|[ —]+$", ""))
-    why = F.transform(F.coalesce(reasons, F.array().cast("array<struct<nr:string,sp:string>>")), lambda r: F.concat_ws(" | ", r["nr"], r["sp"]))
-    parts = F.array(F.concat(F.lit("Code: "), code), title, F.concat(F.lit("Unit: "), unit), listed, F.array_join(each, "; "), F.array_join(why, "; "))
-    return F.array_join(F.filter(parts, lambda p: p.isNotNull() & (p != "")), "\n")
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split(" ")[0] for c in re.sub("<.*?>+", "", fields).split(", ")]
+        for frame in frames:
+            rows = [w for at, content in zip(frame["path"], frame["content"], strict=True) for w in works(at.rsplit("/", 1)[-1], bytes(content))]
+            yield pd.DataFrame(rows, columns=names)
 
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path).select("path", "content")
+    raw = files.mapInPandas(run, fields)
+    counts = raw.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    base = counts.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    begin, end = (F.element_at(F.split("title", "\0", -1), k) for k in (1, 2))
+    title = norm_title(begin, end, F.col("text_parts.table_name"), F.col("work_code"))
+    made = raw.join(base, "file").withColumn("full", title)
+    body = norm_text(F.col("full"), F.col("work_code"), F.col("measure"), F.col("base_name"), F.col("table_code"), F.col("text_parts.table_name"), F.col("text_parts.items"), F.col("text_parts.resources"), F.col("text_parts.reasons"))
+    return made.select(F.concat(F.lit("fsnb_"), (F.col("base") + F.col("place")).cast("string")).alias("chunk_id"), body.alias("text"), F.col("file").alias("source_file"), "work_code", X.strip(F.concat_ws(" ", "work_code", "full")).alias("title"), "table_code", "measure", "base_name")
 
-def norms_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Works of table sections at the top of `base` roots, numbered over sorted files."""
-    base = spark.read.format("xml").option("rowTag", "base").schema(NORM_XML).load(path).select("*", F.input_file_name().alias("file"))
-    sections = base.select("file", F.col("_BaseName").alias("base_name"), F.posexplode("Section").alias("s_pos", "s")).where("lower(s._Type) = 'table'")
-    groups = sections.select("file", "base_name", "s_pos", "s", F.posexplode("s.NameGroup").alias("g_pos", "g"))
-    works = groups.select("file", "base_name", "s_pos", "g_pos", "s", "g", F.posexplode("g.Work").alias("w_pos", "w"))
-    resources = F.transform("w.Resources.Resource", lambda r: F.struct(r["_Code"].alias("code"), r["_EndName"].alias("name"), r["_Quantity"].alias("qty")))
-    reasons = F.transform("w.NrSp.ReasonItem", lambda r: F.struct(r["_Nr"].alias("nr"), r["_Sp"].alias("sp")))
-    items = F.coalesce(F.transform("w.Content.Item", lambda i: i["_Text"]), F.array().cast("array<string>"))
-    made = works.select("file", "s_pos", "g_pos", "w_pos", "base_name", F.col("w._Code").alias("work_code"), F.col("s._Code").alias("table_code"), F.col("w._MeasureUnit").alias("measure"), norm_text(F.col("g._BeginName"), F.col("w._EndName"), F.col("s._Name"), F.col("w._Code"), F.col("w._MeasureUnit"), items, resources, reasons).alias("text"))
-    from pyspark.sql import Window
 
-    number = F.row_number().over(Window.orderBy("file", "s_pos", "g_pos", "w_pos")) - 1  # a norm base is a few thousand works
-    return made.withColumn("chunk_id", F.concat(F.lit("fsnb_"), number.cast("string"))).drop("file", "s_pos", "g_pos", "w_pos")
+#: Elements without an end tag.
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+#: Where an answer stands, in order of preference: a tag, or a class.
+BLOCKS = ("article", "main", ".content", ".post-content", ".entry-content")
 
 
 class _Text(HTMLParser):
-    """Text nodes outside script and style, stripped; the parts inside h1 and article are kept apart."""
+    """Text nodes outside script, style and comments, stripped, each with the blocks that are open around it. Of every kind of
+    block the first counts; an end tag closes what was opened since its own."""
 
-    def __init__(self):
+    def __init__(self, blocks: tuple[str, ...] = ("h1", *BLOCKS)):
         super().__init__(convert_charrefs=True)
-        self.skip, self.open, self.parts = 0, {"h1": 0, "article": 0}, []
+        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.parts: list[tuple[str, frozenset[str]]] = []
+        self.wanted, self.seen = blocks, set()
 
     def handle_starttag(self, tag, attrs):
-        self.skip += tag in ("script", "style")
-        if tag in self.open:
-            self.open[tag] += 1
+        if tag in VOID:
+            return
+        classes = {f".{c}" for k, v in attrs if k == "class" for c in (v or "").split()}
+        first = tuple(b for b in self.wanted if b not in self.seen and (b == tag or b in classes))
+        self.seen.update(first)
+        self.open.append((tag, first))
 
     def handle_endtag(self, tag):
-        self.skip -= tag in ("script", "style") and self.skip > 0
-        if self.open.get(tag):
-            self.open[tag] -= 1
+        if any(t == tag for t, _ in self.open):
+            while self.open.pop()[0] != tag:
+                pass
 
     def handle_data(self, data):
-        if not self.skip and (s := data.strip()):
-            self.parts.append((s, self.open["h1"] > 0, self.open["article"] > 0))
+        if (s := data.strip()) and not any(t in ("script", "style") for t, _ in self.open):
+            self.parts.append((s, frozenset(b for _, first in self.open for b in first)))
 
 
-def html_parts(html: str | None) -> list[tuple[str, bool, bool]]:
+def html_parts(html: str | None) -> _Text:
     parser = _Text()
     parser.feed(html or "")
     parser.close()
-    return parser.parts
+    return parser
 
 
 def html_text(html: str | None) -> str:
     """S19."""
-    return "\n".join(p for p, _, _ in html_parts(html))
+    return "\n".join(p for p, _ in html_parts(html).parts)
 
 
-def html_qa(pages: DataFrame, least_q: int = 5, least_a: int = 10) -> DataFrame:
-    """(page_id, url, question, answer): the heading, and the article's text without it."""
+def heading_and_text(html: str | None) -> tuple[str, str]:
+    """The first h1, and the text of the first block there is, else of the page, without the heading it begins with in any case."""
+    parsed = html_parts(html)
+    parts = parsed.parts
+    question = tidy(" ".join(p for p, inside in parts if "h1" in inside))
+    block = next((b for b in BLOCKS if b in parsed.seen), None)
+    answer = tidy("\n".join(p for p, inside in parts if block is None or block in inside))
+    if question and answer.lower().startswith(question.lower()):
+        answer = tidy(answer[len(question) :])
+    return question, answer
+
+
+def marked_block(html: str | None, begin: str = O.QUESTION, end: str = "Распечатать") -> tuple[str, str]:
+    """The block after the first `begin` and a colon, up to a line that begins with `end`. Its first line, and the lines after it
+    that end in a question mark, are the question."""
+    found = re.search(rf"{begin}\s*:\s*(.*?)(?:\n\s*{end}\b|\Z)", html_text(html), re.I | re.S)
+    lines = [s for x in (found[1] if found else "").split("\n") if (s := x.strip())]
+    if not lines:
+        return "", ""
+    k = 1
+    while k < len(lines) and lines[k].endswith("?"):
+        k += 1
+    return tidy(" ".join(lines[:k])), tidy("\n".join(lines[k:]))
+
+
+def html_qa(pages: DataFrame, least_q: int = 5, least_a: int = 10, parse: Callable[[str | None], tuple[str, str]] = heading_and_text) -> DataFrame:
+    """(page_id, url, question, answer), by heading or by marked block; short ones go."""
 
     @F.pandas_udf("question string, answer string")
-    def parse(html: pd.Series) -> pd.DataFrame:
-        rows = []
-        for parts in map(html_parts, html):
-            question = " ".join(p for p, h, _ in parts if h)
-            inside = [p for p, h, a in parts if a and not h] or [p for p, h, _ in parts if not h]
-            answer = "\n".join(inside)
-            rows.append((question, answer[len(question) :].strip() if question and answer.startswith(question) else answer))
-        return pd.DataFrame(rows, columns=["question", "answer"])
-
-    made = pages.select("page_id", "url", parse("html").alias("qa")).select("page_id", "url", "qa.question", "qa.answer")
+    def split(html: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([parse(x) for x in html], columns=["question", "answer"])
+
+    made = pages.select("page_id", "url", split("html").alias("qa")).select("page_id", "url", "qa.question", "qa.answer")
     return made.where((F.length("question") >= least_q) & (F.length("answer") >= least_a))
 
 
-def page_texts(files: DataFrame, decode: Callable[[bytes], Iterator[str]], ocr: Callable[[bytes, int], str] | None = None) -> DataFrame:
-    """Rows (path, page, text, mode) from binary files by an injected decoder. Pages of under 20 characters go to
-    the injected OCR if there is one, else are `empty`; noisy or short ones take its text if it is a fifth longer."""
+def figures(text: str) -> tuple[int, bool]:
+    """F08, for use beside a decoder: (length, noisy)."""
+    n = len(text)
+    if not n:
+        return 0, True
+    letters, digits = len(re.findall(X.LETTERS, text)), len(re.findall(r"\d", text))
+    return n, letters / n < 0.3 and digits / n > 0.3
+
+
+def unstamped(text: str) -> str:
+    """F07, for use beside a decoder."""
+    return "\n".join(x for x in text.splitlines() if x.strip() and not re.search(O.STAMPS, x, re.I)).strip()
+
+
+def page_texts(files: DataFrame, decode: Callable[[bytes], Iterator[str]], ocr: Callable[[bytes, int], str] | None = None, most_ocr: int = 10) -> DataFrame:
+    """Rows (path, page, text, mode, head) from binary files by an injected decoder; head is the beginning of the first page as it is.
+
+    A page of under 20 characters is read by the injected OCR, if there is one and it finds over 20, else it is `empty`. Others are cleaned
+    (F05, F07, F06); noisy ones and those of under 100 characters take the OCR's text if it is a fifth longer. At most `most_ocr`
+    pages of a file go to the OCR, and one on which it fails counts as unread. A decoder that fails ends its file with a page of mode `error`."""
+    from tessella.operators.clauses import clean, edited
+
+    def texts(content: bytes) -> Iterator[tuple[int, str, str, str | None]]:
+        left = most_ocr if ocr else 0
+
+        def read(n: int) -> str:
+            nonlocal left
+            if left <= 0:
+                return ""
+            left -= 1
+            try:
+                return ocr(content, n)
+            except Exception:  # any failure of the injected function
+                return ""
+
+        n = 0
+        try:
+            for n, raw in enumerate(decode(content), 1):
+                head = raw[:1000] if n == 1 else None
+                if len(raw.strip()) < 20:
+                    seen = read(n)
+                    yield (n, clean(seen), "ocr", head) if len(seen) > 20 else (n, "", "empty", head)
+                    continue
+                text = edited(unstamped(clean(raw)))
+                size, noisy = figures(text)
+                if size < 100 or noisy:
+                    seen = clean(edited(read(n)))
+                    if len(seen) > 1.2 * size:
+                        yield n, seen, "ocr", head
+                        continue
+                yield n, text, "text", head
+        except Exception:  # of the injected decoder
+            yield n + 1, "", "error", None
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for path, content in zip(frame["path"], frame["content"], strict=True):
-                rows = []
-                for n, raw in enumerate(decode(bytes(content)), 1):
-                    letters, digits = sum(map(str.isalpha, raw)), sum(map(str.isdigit, raw))
-                    noisy = not raw or (letters < 0.3 * len(raw) and digits > 0.3 * len(raw))
-                    mode = "text"
-                    if len(raw.strip()) < 20:
-                        raw, mode = (ocr(bytes(content), n), "ocr") if ocr else ("", "empty")
-                    elif ocr and (noisy or len(raw) < 100) and len(read := ocr(bytes(content), n)) > 1.2 * len(raw):
-                        raw, mode = read, "ocr"
-                    rows.append((path, n, raw, mode))
-                yield pd.DataFrame(rows, columns=["path", "page", "text", "mode"])
-
-    return files.select("path", "content").mapInPandas(run, "path string, page int, text string, mode string")
+            rows = [(path, *row) for path, content in zip(frame["path"], frame["content"], strict=True) for row in texts(bytes(content))]
+            yield pd.DataFrame(rows, columns=["path", "page", "text", "mode", "head"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, page int, text string, mode string, head string")
+
+
+def document_title(head: Column, name: Column) -> Column:
+    """The first line of 21 to 199 characters that is no footer, cut to 180; else the file's name with blanks for signs."""
+    lines = F.transform(F.split(F.substring(F.coalesce(head, F.lit("")), 1, 1000), "\r\n|[\n\r]", -1), X.strip)
+    fit = F.filter(lines, lambda x: (F.length(x) > 20) & (F.length(x) < 200) & ~x.rlike(f"{O.FLAGS}{'|'.join(O.FOOTERS)}"))
+    return F.coalesce(F.substring(F.try_element_at(fit, F.lit(1)), 1, 180), X.strip(F.translate(name, "_-", "  ")))
+
+
+def extraction_mode(modes: Column) -> Column:
+    """`mixed` for pages of several modes, `text` for none."""
+    kinds = F.array_distinct(modes)
+    return F.when(F.size(kinds) > 1, F.lit("mixed")).otherwise(F.coalesce(F.try_element_at(kinds, F.lit(1)), F.lit("text")))
+
+
+def documents_of_pages(pages: DataFrame) -> DataFrame:
+    """(doc_id, source, title, extraction, text): a file's pages in order, each after its mark; files without text go."""
+    rows = pages.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("page", "text", "mode", "head"))).alias("p"))
+    name = F.element_at(F.split("path", "/"), -1)
+    stem = X.strip(F.regexp_replace(name, r"(?<=.)\.[^.]*$", ""))
+    marked = F.transform(F.filter("p", lambda x: x["text"] != ""), lambda x: F.concat(F.lit(O.PAGE_OPEN), x["page"].cast("string"), F.lit(f"{O.PAGE_CLOSE}\n"), x["text"], F.lit("\n")))
+    made = rows.select(stem.alias("doc_id"), name.alias("source"), document_title(F.col("p")[0]["head"], stem).alias("title"), extraction_mode(F.transform("p", lambda x: x["mode"])).alias("extraction"), X.strip(F.array_join(marked, "\n")).alias("text"))
+    return made.where("text <> ''")
+
+
+def official_chunks(pages: DataFrame, least: int = 50) -> DataFrame:
+    """Clause chunks (T04) of paged files with source, title, extraction and char_count."""
+    from tessella.operators.clauses import clause_chunks
+
+    docs = documents_of_pages(pages)
+    made = clause_chunks(docs, least).withColumnRenamed("title", "clause_title")
+    return made.join(docs.drop("text"), "doc_id").withColumn("char_count", F.length("text"))
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value): lines of whole files with their numbers from 1, for ids that count lines. A file is read by one task."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.regexp_replace("value", "\n$", ""), "\n", -1).alias("lines"))
+    return whole.select("file", F.posexplode("lines").alias("line", "value")).withColumn("line", F.col("line") + 1)
+
+
+QA = "question string, answer string, source string, url string, qa_id string"
+
+
+def qa_records(lines: DataFrame, id_of: Callable[[Column], Column]) -> DataFrame:
+    """Rows (file, line, value) of JSON to (file, line, question, answer, url, qa_id, usable). The id is the record's own, else from its URL, else
+    its line number; rows that aren't objects, or lack a question or answer, stay as unusable, so that they can be counted."""
+    read = lines.withColumn("r", F.from_json("value", f"{QA}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
+    field = lambda k: F.coalesce(F.when(F.col("r._bad").isNull(), F.col(f"r.{k}")), F.lit(""))
+    url = X.strip(F.when(field("source") != "", field("source")).otherwise(field("url")))
+    told = read.select("file", "line", X.clean_text(field("question")).alias("question"), X.clean_text(field("answer")).alias("answer"), url.alias("url"), X.strip(field("qa_id")).alias("given"))
+    named = F.coalesce(F.nullif("given", F.lit("")), F.nullif(id_of(F.col("url")), F.lit("")), F.col("line").cast("string"))
+    usable = (F.col("question") != "") & (F.col("answer") != "")
+    return told.select("file", "line", "question", "answer", "url", F.when(usable, named).alias("qa_id"), usable.alias("usable"))
+
+
+def qa_chunks(records: DataFrame, site: str, size: int = 1500, overlap: int = 300, least: int = 100) -> DataFrame:
+    """Chunks of usable records: `qa_<site>_<qa_id>_<part>`, question, answer, title, url, part_number, total_parts, text."""
+    from tessella.operators.chunking import recursive_chunks
+
+    rows = records.where("usable").withColumn("doc_id", F.struct("file", "line"))
+    parts = recursive_chunks(rows.select("doc_id", X.qa_text(F.col("question"), F.col("answer")).alias("text")), size, overlap)
+    joined = parts.where(F.length("chunk") >= least).join(rows, "doc_id")
+    name = F.concat_ws("_", F.lit("qa"), F.lit(site), "qa_id", "part")
+    return joined.select(name.alias("chunk_id"), F.col("chunk").alias("text"), F.col("url").alias("source"), "question", "answer", X.truncate_title(F.col("question")).alias("title"), "qa_id", F.col("line").alias("line_num"), F.col("part").alias("part_number"), "total_parts")
+
+
+def counts(records: DataFrame) -> DataFrame:
+    """(file, total, usable, skipped)."""
+    return records.groupBy("file").agg(F.count(F.lit(1)).alias("total"), F.count_if("usable").alias("usable"), F.count_if(~F.col("usable")).alias("skipped"))
+
+
+def unseen(rows: DataFrame, seen: DataFrame, key: str = "url") -> DataFrame:
+    """Rows whose key an earlier output doesn't hold."""
+    return rows.join(seen.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
+def training_pairs(rows: DataFrame, share: dict[str, float] | None = None, least_q: int = 15, least_a: int = 30, seed: int = 42) -> DataFrame:
+    """Distinct (question, answer) from (file, question, answer, text). A combined text is split at its first answer heading. Of
+    a file with a share, that part of its pairs is kept, one at least, the first in hashed order."""
+    share = share or {}
+    parts = F.split("text", f"{O.ANSWER}:", 2)
+    combined = F.coalesce(F.contains("text", F.lit(f"{O.QUESTION}:")) & F.contains("text", F.lit(f"{O.ANSWER}:")), F.lit(False))
+    q = F.when(combined, X.strip(F.replace(parts[0], F.lit(f"{O.QUESTION}:"), F.lit("")))).otherwise(F.coalesce("question", F.lit("")))
+    a = F.when(combined, X.strip(F.try_element_at(parts, F.lit(2)))).otherwise(F.coalesce("answer", F.lit("")))
+    pairs = rows.select("file", q.alias("q"), a.alias("a")).where((F.length("q") >= least_q) & (F.length("a") >= least_a)).select("file", X.strip(F.col("q")).alias("question"), X.strip(F.col("a")).alias("answer"))
+    kept = pairs.where(~F.col("file").isin(*share)) if share else pairs
+    for file, part in share.items():
+        own = pairs.where(F.col("file") == file)
+        most = max(1, int(own.count() * part))
+        kept = kept.unionByName(own.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), "question", "answer"))).limit(most))
+    return kept.select("question", "answer").distinct()
 
 
 def generated_questions(chunks: DataFrame, generate: Callable[[str], str], least: int = 80) -> DataFrame:
@@ -168,3 +396,21 @@ def generated_questions(chunks: DataFrame, generate: Callable[[str], str], least
         return texts.map(lambda t: generate(t).rstrip("? .") + "?")
 
     return chunks.where(F.length("text") >= least).withColumn("question", ask("text"))
+
+
+def norm_corpus(chunks: DataFrame, share: float = 1.0, least: int = 30, seed: int = 42) -> DataFrame:
+    """Stripped texts of at least `least` characters, a share of them by hash."""
+    texts = chunks.select(X.strip(F.col("text")).alias("text")).where(F.length("text") >= least)
+    if share >= 1.0:
+        return texts
+    return texts.where(F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), "text")), 1, 8), 16, 10).cast("long") < int(share * (1 << 32)))
+
+
+def labelled_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """(query, document, label) from JSON lines; a bad line raises."""
+    return json_lines(spark, path, "query string, document string, label int", strict=True)
+
+
+def first_lines(rows: DataFrame, most: int | None, line: str = "line") -> DataFrame:
+    """The rows of the first `most` lines."""
+    return rows if most is None else rows.where(F.col(line) <= most)

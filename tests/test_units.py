@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessella.functions import official as O
 from tessella.functions import text as X
 from tessella.functions import urls as U
-from tessella.operators import bm25, chunking, clauses, context, fusion, metrics, mining, relational, search, vectors
+from tessella.operators import ask, bm25, chunking, clauses, context, fusion, metrics, mining, relational, search, vectors
 from tessella.plans.queries import QUERIES
 from tessella.sources import readers, sinks
 from tessella.streaming import ingest
@@ -31,14 +32,27 @@ def one(spark, expr, value=None):
         (lambda c: X.lenient_int(c, 7), None, 7),
         (X.rate_code, "код 01-02-003-04 и 05-06-007-08", "01-02-003-04"),
         (X.rate_code, "101-02-003-045", ""),
-        (X.strip_part, "Title (Часть 2)", "Title"),
-        (X.strip_part, "Title PART 10", "Title"),
-        (X.clean_page, "exam-\nple\r one\n\n\ntwo", "example one\ntwo"),
-        (X.drop_notes, "a (as amended by x) b", "a b"),
-        (X.drop_stamps, "a\n\n Page 3 \nb", "a\nb"),
-        (lambda c: X.truncate_sentences(c, 12), "Aaaa. Bbbb. Cccc.", "Aaaa.Bbbb.\n…"),
-        (lambda c: X.truncate_sentences(c, 4), "Aaaaaaa. B.", "Aaaa\n…"),
-        (lambda c: X.truncate_sentences(c, 99), "short", "short"),
+        (X.strip_part, "Title Часть 2", "Title"),
+        (X.strip_part, " Title ЧАСТИ 10 ", "Title"),
+        (X.clean_page, "exam-\n ple\r one\n\n\n\ntwo  x", "example one\n\ntwo x"),
+        (X.clean_page, "©б утверждении Страница 3 из 9 и DOCS.cntd.ru\nx", "Об утверждении и \nx"),
+        (X.clean_page, None, ""),
+        (X.drop_notes, "a (в редакции от 1) b (см. c)", "ab (см. c)"),
+        (X.drop_stamps, "a\n\n сведения  сформированы фгис цс \r\nb", "a\nb"),
+        # Trap Q1: an end after an ordinary word of three letters or more doesn't split; after a quote or two letters it does.
+        (lambda c: X.truncate_sentences(c, 12), "Aaaa. Bbbb. Cccc.", "Aaaa. Bbbb. " + O.CUT),
+        (lambda c: X.truncate_sentences(c, 14), 'Aa ab". Bb cd". Cc ef".', 'Aa ab".' + O.CUT),
+        (lambda c: X.truncate_sentences(c, 15), 'Aa ab". Bb cd". Cc ef".', 'Aa ab".Bb cd".' + O.CUT),
+        (lambda c: X.truncate_sentences(c, 15, True), 'Aa ab". Bb cd". Cc ef".', 'Aa ab". Bb cd".' + O.CUT),
+        (lambda c: X.truncate_sentences(c, 4), "Aaaaaaa. B.", "Aaaa" + O.CUT),
+        (lambda c: X.truncate_sentences(c, 99), " short ", "short"),
+        (lambda c: X.truncate_sentences(c, 0), "any length", "any length"),
+        (X.scoring_sentences, 'Это первое "слово". 12 345, 678 9 10 11 12". Это второе слово и ещё', ['Это первое "слово".', "Это второе слово и ещё"]),
+        (X.drafted, "text\n источники \n\nmore", "Ответ: textmore"),
+        (X.drafted, "text\nИсточники:\n- a\nВопрос: q", "Ответ: text\nИсточники:\n- a"),
+        (X.drafted, "ОТВЕТ да", "ОТВЕТ да"),
+        (X.drafted, " ", ""),
+        (X.embedder_text, "a", "search_document: a"),
         (U.slug, "https://a/b/c/", "c"),
         (U.slug, "https://a", None),
         (U.question_id, "https://h/x/questions/5/77/", "5_77"),
@@ -58,13 +72,20 @@ def test_scalars(spark, f, given, want):
 def test_quality_and_pages(spark):
     assert one(spark, X.quality, "").noisy is True
     assert one(spark, X.quality, "12345 ab") == (8, 0.25, 0.625, True)
-    assert one(spark, X.page_range, "[PAGE 2] x [PAGE 10]") == (2, 10)
-    assert one(spark, X.page_range, "x") == (None, None)
+    assert one(spark, X.page_range, "<<<PAGE:2>>> x <<<PAGE:10>>>") == (2, 10)
+    assert one(spark, X.page_range, "x") == (0, 0)
+    assert one(spark, X.strip_page_marks, "a<<<PAGE:2>>>\nb") == "a\nb"
 
 
 def test_finish_answer(spark):
-    y = spark.range(1).select(X.finish_answer(F.lit("text\n\nSources\n\nQuestion: again?"), F.array(F.lit(" a "), F.lit("a"), F.lit(""))).alias("y")).first().y
-    assert y.startswith("Answer: text") and y.endswith("Sources:\n- a") and "Question" not in y
+    label = lambda *c: X.source_label(*map(F.lit, c))
+    row = spark.range(1).select(label("01", "Title Часть 2", "f.pdf", "3.1", "7").alias("a"), label("", "T", "", "", "").alias("b"), label("", "", "g", None, "2").alias("c")).first()
+    assert tuple(row.a) == ("01", "Title", "f.pdf", " (п. 3.1, стр. 7)") and row.b.anchor == ""
+    made = spark.createDataFrame([row]).select(X.finish_answer(F.lit("text "), F.array("a", "b", "c", "a")).alias("y")).first().y
+    assert made == "Ответ: text\n\nИсточники:\n- [01] Title— f.pdf (п. 3.1, стр. 7)\n- T\n- Документ— g (стр. 2)"
+    assert [X.optional_dims(v) for v in ("64 # dims", "0", "", None, "x", "# 5")] == [64, None, None, None, None, None]
+    e = spark.range(1).select(X.coerced(F.array(F.lit("я"), F.lit(None)), "array<string>").alias("a"), X.coerced(F.lit(2.5), "double").alias("b"), X.coerced(F.to_date(F.lit("2024-01-02")), "date").alias("c")).first()
+    assert tuple(e) == ('["я",null]', 2.5, "2024-01-02")
 
 
 def lists(spark):
@@ -121,21 +142,21 @@ def test_relational(spark):
 
 
 def test_context(spark):
-    rows = spark.createDataFrame([(1, 1, "a" * 10), (1, 2, " "), (1, 3, "b" * 10), (1, 4, "c")], "qid int, rank int, block string")
-    got = context.contexts(rows, 30).first()
-    assert got.context == "a" * 10 + context.SEPARATOR + "b" * 10 and got.blocks == 2
-    asked = context.answered(spark.createDataFrame([(1, "q", ""), (2, "q", "x" + context.SEPARATOR + "y")], "qid int, question string, context string"))
-    assert [r.answer for r in asked.orderBy("qid").collect()] == ["No answer was found.", "x"]
+    rows = spark.createDataFrame([(1, 1, "a" * 10), (1, 2, " "), (1, 3, "b" * 10), (1, 4, "c"), (2, 1, "d" * 11), (3, 1, "e" * 26)], "qid int, rank int, block string")
+    got = {r.qid: (r.context, r.blocks) for r in context.contexts(rows, 25).collect()}  # 10 + 5 + 10: the first block has no separator
+    assert got == {1: ("a" * 10 + context.SEPARATOR + "b" * 10, 2), 2: ("d" * 11, 1), 3: ("", 0)}
+    none = F.array().cast("array<struct<work_code:string,title:string,source_file:string,anchor:string>>")
+    given = spark.createDataFrame([(1, "q", ""), (2, "q", "x" + context.SEPARATOR + "y"), (3, "bad", "x")], "qid int, question string, context string").withColumn("sources", none)
+    generate = lambda p: F.when(~F.contains(p, F.lit("bad")), context.extractive(p))
+    assert [r.answer for r in context.answered(given, generate).orderBy("qid").collect()] == [O.NO_DATA, "Ответ: x", O.FAILED]
 
 
 def test_docs_to_context(spark, sf):
-    long = "A sentence of words. " * 900
-    rows = spark.createDataFrame([(1, 1, long), (1, 2, "b"), (2, 1, "a" * 12), (2, 2, "b" * 13), (2, 3, "c"), (3, 1, " \n"), (3, 2, None)], "qid int, rank int, block string")
-    got = {r.qid: r for r in context.docs_to_context(rows, 5_100).collect()}
-    assert got[1].blocks == 2 and len(got[1].context) <= 5_100 and got[1].context.endswith("\n…" + context.SEPARATOR + "b")
-    assert (got[3].context, got[3].blocks) == ("", 0)
-    exact = {r.qid: r for r in context.docs_to_context(rows, 30).collect()}  # 12 + 5 + 13: no separator before the first
-    assert exact[2].context == "a" * 12 + context.SEPARATOR + "b" * 13 and exact[1].blocks == 0
+    long = 'A sentence of words". ' * 900
+    rows = [(1, 1, long, "01", "T Часть 1", "f"), (1, 2, "b", "", "", ""), (2, 1, " \n", "", "", None), (3, 1, None, "", "U", "")]
+    got = {r.qid: r for r in context.docs_to_context(spark.createDataFrame(rows, "qid int, rank int, text string, work_code string, title string, source string"), 5_200).collect()}
+    assert got[1].blocks == 2 and got[1].context.startswith("[01] T\nДокумент: f\nA sentence") and got[1].context.endswith(O.CUT + context.SEPARATOR + "b")
+    assert (got[2].context, got[2].blocks) == ("", 0) and got[3].context == "[] U"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     built = QUERIES["context_build"](spark, sf).collect()
     assert len(built) == docs.select("source").distinct().count() and all(r.blocks > 0 for r in built)
@@ -150,25 +171,40 @@ def test_recursive_split():
     assert all(len(p) <= 300 for p in split(text, 300, 60))
 
 
+def test_chunks_are_cleaned_first(spark):
+    docs = spark.createDataFrame([(1, "a\xa0\xa0" * 2000 + "b"), (2, " \n "), (3, None), (4, "short"), (5, "w " * 1400)], "doc_id long, text string")
+    parts = chunking.recursive_chunks(docs.where("doc_id < 5")).collect()
+    assert {r.doc_id for r in parts} == {1, 4} and parts[0].chunk == ("a " * 750).strip()
+    whole = {r.chunk_id: r for r in chunking.merge_split(docs, least=3).collect()}
+    assert set(whole) == {"1__p1", "1__p2", "1__p3", "1__p4", "4", "5"} and len(whole["5"].chunk) == 2799
+
+
 def test_sentences():
-    assert chunking.split_sentences("One. Two! Three? Four.") == ["One. Two!", "Three?", "Four."]
-    assert chunking.force_split("", 10) == []
+    assert chunking.split_sentences("One. Two! Three?Four.\n So") == ["One. Two!", "Three?", "Four. So"]
+    assert chunking.split_sentences(". a? !") == [".", "a?", "!"] and chunking.split_sentences("") == []
+    assert chunking.force_split("", 10) == [""]
     assert all(len(p) <= 50 for p in chunking.force_split("word " * 100, 50))
-    assert [len(x) for x in chunking.force_split("y" * 3000, 1500)] == [1500, 1500, 200]
-    merged = chunking.merge_small([{"parent": "p", "sub": None, "text": "a" * 5}, {"parent": "p", "sub": None, "text": "b" * 5}, {"parent": "q", "sub": None, "text": "c"}], 10)
-    assert [m["text"] for m in merged] == ["aaaaa bbbbb", "c"]
+    assert [len(x) for x in chunking.force_split("y" * 3000, 1500)] == [3000]  # a single sentence is packed by words only
+    assert [len(x) for x in chunking.force_split("y" * 3000 + "! z", 1500)] == [1500, 1500, 201, 1]
+    assert [len(x) for x in chunking.force_split("y" * 900 + "! z", 500)] == [500, 500, 101, 1]  # windows follow the limit
+    merged = chunking.merge_small([{"parent_id": "p", "subclause": None, "text": "a" * 5, "page_end": 1}, {"parent_id": "p", "subclause": None, "text": "b" * 5, "page_end": 3}, {"parent_id": "p", "subclause": None, "text": "c"}, {"parent_id": "q", "subclause": None, "text": "d"}], 10)
+    assert [(m["text"], m.get("page_end")) for m in merged] == [("aaaaa bbbbb", 3), ("c", None), ("d", None)]
 
 
 def test_clauses():
-    body = "this clause has a body that is long enough to be kept as a chunk."
-    text = f"[PAGE 1] intro words that are long enough to make a chunk of their own here.\n1. First {body};\n2. Second {body}\n3. Hidden {body}\n1. Again:\na) {body}\nb) short\n2) {body} [PAGE 4]\n"
+    body = "у этого пункта текст, которого хватает на отдельный фрагмент."
+    text = f"<<<PAGE:1>>>\nвводные слова, которых хватает на отдельный фрагмент текста здесь.\n1. Первый {body}\n2. Второй (в редакции 1) {body}\n3. Ещё {body}\n1. Снова:\nа) {body}\nб) коротко\n2) {body} <<<PAGE:4>>>\nТаблица 1 Итоги {body}\n"
     rows = {r[0]: r for r in clauses.clause_rows(text, "d")}
-    assert set(rows) >= {"d__0", "d__1", "d__2", "d__1_2__a", "d__1_2__2"} and "d__1_2" not in rows and "d__1_2__b" not in rows
-    assert "d__3" in rows  # the line before ends in a full stop
-    hidden = {r[0] for r in clauses.clause_rows(f"1. First {body} ends in a letter\n2. Second {body}", "d")}
-    assert hidden == {"d__1"}
-    assert rows["d__1_2__a"][6] == "d__1_2" and rows["d__0"][8:10] == (1, 1)
-    assert [s[2] for s in clauses.sub_boundaries("а) x\nв) y\nа) z\nб) w\n1) q")] == ["а", "в", "б", "1"]
+    assert list(rows) == ["d__0", "d__1", "d__2", "d__3", "d__1_2__а", "d__1_2__2", "d__1_3"]  # tables share the counter
+    assert rows["d__0"][4:10] == (O.INTRODUCTION, 1, None, False, 1, 1)
+    assert rows["d__1"][10] == f"1. Первый {body}" and rows["d__2"][10] == f"2. Второй{body}" and rows["d__1"][4] == f"Первый {body}"
+    assert rows["d__1_2__а"][2:10] == ("1_2", "а", "Снова:", 2, "d__1_2", False, 4, 4) and rows["d__1_2__2"][10] == f"2) {body}"
+    assert rows["d__1_3"][4] == f"Итоги {body}" and "d__1_2" not in rows  # a short beginning has no row (trap Q26)
+    assert [r[0] for r in clauses.clause_rows(f"1. Первый {body} и буква\n2. Второй {body}", "d")] == ["d__1"]  # trap Q5
+    assert [(r[0], r[4], r[8]) for r in clauses.clause_rows(body, "d")] == [("d__0", O.WHOLE, 0)]
+    long = list(clauses.clause_rows(f"1. {'слово! ' * 300}\nа) {body}", "d"))
+    assert [r[0] for r in long] == ["d__1.1", "d__1.2", "d__1__а"] and long[0][7] and max(len(r[10]) for r in long) <= 1500
+    assert [s[1] for s in clauses.sub_boundaries("а) x\nв) y\nа) z\nб) w\n1) q\nБ) r")] == ["а", "в", "б", "1", "Б"]
     assert list(clauses.clause_rows("  ", "d")) == [] and list(clauses.clause_rows(None, "d")) == []
 
 
@@ -181,6 +217,22 @@ def test_ndcg(spark):
 def test_pareto(spark):
     rows = spark.createDataFrame([(1, 1.0, 3.0), (2, 2.0, 2.0), (3, 1.0, 2.0), (4, 2.0, 2.0)], "t int, a double, b double")
     assert sorted(r.t for r in metrics.pareto_front(rows, ["a", "b"]).collect()) == [1, 2, 4]
+    assert metrics.pareto_front(rows.limit(0), ["a", "b"]).count() == 0
+    points = np.random.default_rng(1).integers(0, 12, (300, 3)).astype(float)
+    levels, left = [], list(range(300))
+    while left:
+        levels.append([i for i in left if not any((points[j] >= points[i]).all() and (points[j] > points[i]).any() for j in left)])
+        left = [i for i in left if i not in levels[-1]]
+    assert search.fronts(points) == levels
+
+
+def test_quantiles(spark):
+    values = [(None, 1.0), (None, None)] + [(k % 3, float(x)) for k, x in enumerate(np.random.default_rng(2).integers(0, 50, 400))] + [(7, 5.0)] * 3 + [(8, x) for x in (1.0, 1e9, 1e9 + 1)]
+    rows = spark.createDataFrame(values, "g int, v double")
+    for bins in (2, 1024):
+        got = {r.g: (r.q0, r.q1, r.q2) for r in metrics.quantiles(rows, "g", "v", (0.25, 0.5, 0.95), bins).collect()}
+        want = {g: tuple(np.quantile([v for h, v in values if h == g and v is not None], (0.25, 0.5, 0.95))) for g in {g for g, _ in values}}
+        assert set(got) == set(want) and all(np.allclose(got[g], want[g]) for g in want)
 
 
 def test_faithfulness(spark):
@@ -195,6 +247,32 @@ def test_mining(spark):
     positives = spark.createDataFrame([(q, q) for q in range(20)], "qid long, doc_id long")
     drawn = mining.random_negatives(positives, spark.range(50).withColumnRenamed("id", "doc_id")).collect()
     assert len(drawn) == 60 and all(r.doc_id != r.qid for r in drawn)
+    several = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 9)], "qid long, doc_id long")
+    few = mining.random_negatives(several, spark.range(4).withColumnRenamed("id", "doc_id"))  # min(n, candidates) each
+    assert {(r.qid, r.positive): r["count"] for r in few.groupBy("qid", "positive").count().collect()} == {(1, 0): 2, (1, 1): 2, (2, 0): 3, (3, 9): 3}
+    assert few.select("qid", "positive", "doc_id").distinct().count() == few.count()
+    assert mining.random_negatives(several, spark.range(0).withColumnRenamed("id", "doc_id")).count() == 0
+    assert mining.share_by_hash(spark.range(1000), ["id"], 0.37).count() == 370
+
+
+def test_ask(spark):
+    chunks = spark.createDataFrame([(1, "первый текст", "01-02-003-04", "T", "f", None, None), (2, "второй текст", "", "", "", None, None), (3, "третий", "", "", "", None, None)], "doc_id long, text string, work_code string, title string, source string, clause string, page string")
+    questions = spark.createDataFrame([(1, "что о 01-02-003-04"), (2, "второй"), (3, "ничего")], "qid long, question string")
+    lists = [spark.createDataFrame([(q, d, k) for q, d, k in rows], "qid long, doc_id long, rank int") for rows in ([(1, 2, 1), (1, 3, 2), (2, 2, 1)], [(2, 3, 1)])]
+    score = lambda pool: pool.withColumn("rr_score", F.lit(0.5))
+    got = {r.qid: r for r in ask.ask(questions, *lists, chunks, score, fusion.Settings(final_k=3)).collect()}
+    assert (got[1].docs_count, got[1].meta.mode, got[1].meta.top_scores) == (3, "exact_code_match", None) and got[1].contexts[0] == "первый текст"
+    assert got[1].sources[0].work_code == "01-02-003-04" and "- [01-02-003-04] T— f" in got[1].answer
+    assert (got[2].docs_count, got[2].meta.bm25, got[2].meta.vec, got[2].meta.top_scores) == (2, 1, 1, [0.5, 0.5])
+    assert (got[3].answer, got[3].docs_count, got[3].contexts) == (O.NO_DATA, 0, [])
+    results = ask.referenced(questions, questions.where("qid = 2").withColumn("reference", F.col("question"))).join(spark.createDataFrame(list(got.values())).select("qid", "answer", "contexts"), "qid")
+    made = {r.qid: r for r in ask.triad(results, vectors.hashed, missing=(0.0, 0.5, 0.5)).collect()}
+    assert (made[3].context_relevance, made[3].faithfulness) == (0.0, 0.5) and made[2].context_relevance > 0
+    judged = {r.qid: r.faithfulness for r in ask.judged(results, lambda s, c: F.lit(None).cast("double")).collect()}
+    assert judged == {1: 0.0, 2: 0.0, 3: 0.0}  # a failed judge counts as unsupported, no sentence as 0
+    assert [ask.reranker_kind(m) for m in ("jina-x", "Qwen3", "nemotron", "bge")] == ["jina", "causal_lm", "sequence", "cross_encoder"] and ask.reranker_kind("x", "jina") == "jina"
+    rows = spark.createDataFrame([(1, 1, 0.9), (1, 2, None), (1, 3, 0.8)], "qid int, rank int, s double")
+    assert [r["rank"] for r in ask.leading(rows, "rank", F.col("s") >= 0.5).collect()] == [1]
 
 
 def test_search():
@@ -221,11 +299,22 @@ def test_sources(spark, tmp_path):
     rows = {r.chunk_id: r for r in readers.chunks(spark, str(tmp_path / "c.jsonl")).collect()}
     assert set(rows) == {"a", "b"} and rows["a"].doc_type == "x" and rows["a"].page_start == 3 and rows["b"].doc_type == "unknown" and rows["b"].text_length == 3
     (tmp_path / "q.csv").write_text('Question,Answer,URL\n"a ""q""","line\nline",u\n,,v\nb,c,w\n')
-    assert [(r.row, r.question, r.answer) for r in readers.qa_csv(spark, str(tmp_path / "q.csv")).collect()] == [(1, 'a "q"', "line\nline"), (3, "b", "c")]
-    xml = '<base BaseName="B"><Section Type="Table" Code="T1" Name="N"><NameGroup BeginName="begin"><Work Code="01" EndName="end" MeasureUnit="m"><Content><Item Text="i1"/><Item Text=" "/></Content><Resources><Resource Code="r" EndName="n" Quantity="2"/></Resources><NrSp><ReasonItem Nr="1" Sp="2"/></NrSp></Work></NameGroup></Section></base>'
+    (tmp_path / "r.csv").write_text("Question,Answer,URL\nx,y,https://h/a/questions/5/77\n")
+    assert sorted((r.row, r.question, r.answer, r.qa_id) for r in readers.qa_csv(spark, str(tmp_path / "*.csv")).collect()) == [(1, 'a "q"', "line\nline", "1"), (1, "x", "y", "5_77"), (3, "b", "c", "3")]
+    xml = '<base BaseName="B"><Section Type="x"><Section Type="Таблица" Code="T1" Name="N"><NameGroup BeginName="begin"><Work Code="01" EndName="end" MeasureUnit="m"><Content><Item Text="i1"/><Item Text=" "/></Content><Resources><Resource Code="r" EndName="n" Quantity="2"/></Resources><NrSp><ReasonItem Nr="1" Sp="2"/></NrSp></Work><Work Code="02"/></NameGroup></Section></Section></base>'
     (tmp_path / "n.xml").write_text(xml)
-    (norm,) = readers.norms_xml(spark, str(tmp_path / "n.xml")).collect()
-    assert norm.chunk_id == "fsnb_0" and norm.text == "Code: 01\nbegin end\nUnit: m\ni1\nr n — 2\n1 | 2"
+    (tmp_path / "a.xml").write_text(xml.replace("base", "NewDataSet"))
+    (tmp_path / "o.xml").write_text(xml)
+    norms = {r.chunk_id: r for r in readers.norms_xml(spark, str(tmp_path)).collect()}
+    assert sorted(norms) == ["fsnb_0", "fsnb_1", "fsnb_2", "fsnb_3"] and norms["fsnb_2"].source_file == "o.xml"
+    assert norms["fsnb_0"].text == "НОРМАТИВ: 01 begin end\nЕдиница измерения: m\nСборник: B | Таблица T1 N\n\nСОДЕРЖАНИЕ РАБОТЫ:\ni1\n\nРЕСУРСЫ:\nr n — 2\n\nНОРМАТИВНЫЕ ССЫЛКИ:\nНорма: 1, Спецификация: 2"
+    assert norms["fsnb_1"].title == "02 begin" and norms["fsnb_1"].text.count(O.ABSENT) == 3
+    page = "<html><nav>n</nav><article class='x'><h1>Что это?</h1><p>ЧТО ЭТО? Ответ из многих слов<br>и строк</article><footer>f</footer>"
+    assert readers.heading_and_text(page) == ("Что это?", "ЧТО ЭТО? Ответ из многих слов\nи строк")
+    assert readers.heading_and_text("<h1>Q</h1><div class='a content'>answer</div>tail") == ("Q", "answer")
+    assert readers.heading_and_text("<h1>Q</h1>text<article></article>") == ("Q", "")
+    marked = "<p>x</p><p>ВОПРОС: Первая строка<br>Правда?<br>Ответ тут<br>и тут</p><p>Распечатать</p>"
+    assert readers.marked_block(marked) == ("Первая строка Правда?", "Ответ тут\nи тут") and readers.marked_block("x") == ("", "")
     assert readers.html_text("<p>a<script>x</script></p><b> b </b>") == "a\nb"
     made = readers.generated_questions(spark.createDataFrame([("x" * 80,), ("y",)], "text string"), lambda t: "what.").collect()
     assert [r.question for r in made] == ["what?"]
@@ -234,10 +323,26 @@ def test_sources(spark, tmp_path):
 def test_pages(spark, tmp_path):
     (tmp_path / "f.bin").write_bytes(b"x")
     files = spark.read.format("binaryFile").load(str(tmp_path / "f.bin"))
-    pages = ["", "1 2 3 4 5 6 7 8 9 10 11 12", "plain words that are long enough to stand without any help " * 3]
-    none = [r.mode for r in readers.page_texts(files, lambda _: iter(pages)).orderBy("page").collect()]
-    read = [r.mode for r in readers.page_texts(files, lambda _: iter(pages), lambda _, n: "o" * 60).orderBy("page").collect()]
-    assert none == ["empty", "text", "text"] and read == ["ocr", "ocr", "text"]
+    plain = "слова, которых хватает на страницу без всякой помощи " * 3
+    pages = ["", "1 2 3 4 5 6 7 8 9 10 11 12", f"{plain}\n\nсведения сформированы фгис цс"]
+    read = lambda ocr, **k: [(r.mode, r.text) for r in readers.page_texts(files, lambda _: iter(pages), ocr, **k).orderBy("page").collect()]
+    assert read(None) == [("empty", ""), ("text", pages[1]), ("text", plain.strip())]
+    assert [m for m, _ in read(lambda _, n: "o" * 60)] == ["ocr", "ocr", "text"]
+    assert [m for m, _ in read(lambda _, n: "o" * 60, most_ocr=1)] == ["ocr", "text", "text"]
+    assert [m for m, _ in read(lambda _, n: "o" * 20)] == ["empty", "text", "text"] and [m for m, _ in read(lambda _, n: 1 / 0)] == ["empty", "text", "text"]
+
+    def breaks(_):
+        yield plain
+        raise ValueError
+
+    assert [r.mode for r in readers.page_texts(files, breaks).orderBy("page").collect()] == ["text", "error"]
+    made = readers.page_texts(files, lambda _: iter(["Заголовок документа, который годится\n" + plain, "<x>", plain * 2]))
+    (doc,) = readers.documents_of_pages(made).collect()
+    assert (doc.doc_id, doc.source, doc.title, doc.extraction) == ("f", "f.bin", "Заголовок документа, который годится", "mixed") and doc.text.startswith("<<<PAGE:1>>>\n")
+    (chunk,) = readers.official_chunks(made).collect()
+    assert (chunk.chunk_id, chunk.page_start, chunk.page_end, chunk.char_count) == ("f__0", 1, 3, len(chunk.text))
+    untitled = made.withColumn("head", F.lit("short"))
+    assert readers.documents_of_pages(untitled).first().title == "f"
 
 
 def test_sinks_and_stream(spark, tmp_path):
@@ -248,6 +353,8 @@ def test_sinks_and_stream(spark, tmp_path):
     assert not sinks.load_collection(spark, new, path, enough=1)
     assert sinks.load_collection(spark, spark.createDataFrame([("b", "9")], "chunk_id string, text string"), path)
     assert {r.chunk_id: r.text for r in spark.read.parquet(path).collect()} == {"a": "1", "b": "9"}
+    (tmp_path / "coll").rename(tmp_path / "coll.old")  # a replacement that broke off between its renames
+    assert sinks.count_or_none(spark, path) == 2
     sinks.write_json_lines(new, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 3
     sinks.write_csv(new, str(tmp_path / "v"))
