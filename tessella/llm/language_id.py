@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import bounded_broadcast, cut, lean, small_batches
+from tessella.llm.common import bounded_broadcast, cut, lean, map_rows, small_batches, trim
 
 PER_LANGUAGE = 240
 SEGMENTS = 4
@@ -202,6 +202,7 @@ def train(sample: list[tuple[str, bytes]], hidden: int = HIDDEN, steps: int = ST
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
                 net.p[k] -= (rate * (first[k] / (1 - 0.9**tick)) / (np.sqrt(second[k] / (1 - 0.99**tick)) + 1e-7)).astype(np.float32)
+    trim()
     return net
 
 
@@ -270,4 +271,4 @@ def keep_identified(docs: DataFrame, net: Network, least: float) -> DataFrame:
             keep = pa.array([lang != UND and score >= least for lang, score in zip(said["lang_pred"].to_pylist(), said["score"].to_pylist(), strict=True)], pa.bool_())
             yield batch.filter(keep)
 
-    return docs.mapInArrow(lean("language", run), docs.schema)
+    return map_rows(docs, lean("language", run), docs.schema)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import bounded_broadcast, cut, join_groups, lean, small_batches, with_group_values
+from tessella.llm.common import BROADCAST_BYTES, bounded_broadcast, cut, join_groups, lean, small_batches, with_group_values
 from tessella.llm.components import components
 from tessella.llm.shingles import mix, overlap, power_tables, shingle_sets
 
@@ -168,9 +168,11 @@ def _compare(width: int, percent: int):
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (hub, hub_doc, leaf, leaf_doc) that are links, as edges (u, v). pairs should be cut."""
     texts = placed(docs).select(F.col("place").alias("doc_id"), "text")
-    counted = with_group_values(pairs, ["hub"], F.xxhash64("leaf"), [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("n")])
-    salt = F.pmod(F.xxhash64("leaf"), F.ceil(F.col("n") / F.lit(float(STAR_LEAVES)))).cast("int").alias("salt")
-    salted = cut(counted.select("hub", "hub_doc", salt, "leaf", "leaf_doc"))
+    # Hubs of more leaves than one task compares are so few that they fit a broadcast.
+    most = max(STAR_LEAVES, -(-pairs.count() * 48 // BROADCAST_BYTES))
+    wide = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(most))).alias("tasks")).where("tasks > 1")
+    salt = F.coalesce(F.pmod(F.xxhash64("leaf"), F.col("tasks")), F.lit(0)).cast("int").alias("salt")
+    salted = pairs.join(F.broadcast(cut(wide)), "hub", "left").select("hub", "hub_doc", salt, "leaf", "leaf_doc")
     leaves = salted.select("hub", "salt", F.lit(False).alias("own"), "leaf", F.col("leaf_doc").alias("doc_id"))
     hubs = salted.select("hub", "salt", F.lit(True).alias("own"), F.col("hub").alias("leaf"), F.col("hub_doc").alias("doc_id")).distinct()
     wanted = bounded_broadcast(cut(leaves.unionByName(hubs)), 64)
