@@ -13,6 +13,7 @@ from urllib.parse import unquote, urlparse
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Rows of at most this many bytes in all may be broadcast.
 BROADCAST_BYTES = 48 << 20
@@ -149,5 +150,12 @@ def lean(owner: str, run: Callable[[Iterator], Iterator], clear: Callable[[], No
     return wrapped
 
 
+def map_rows(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: StructType) -> DataFrame:
+    """rows.mapInArrow(run, schema) for columns of any names: run sees and gives columns c0, c1, ... by position."""
+    plain = rows.toDF(*[f"c{k}" for k in range(len(rows.columns))])
+    made = StructType([StructField(f"c{k}", f.dataType, f.nullable) for k, f in enumerate(schema.fields)])
+    return plain.mapInArrow(run, made).toDF(*schema.names)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import lean, shared_path, small_batches
+from tessella.llm.common import lean, map_rows, shared_path, small_batches
 
 WINDOW = 13
 #: Measured over the supplied benchmarks: memory of the automaton and of the items beside it.
@@ -208,4 +208,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, perc
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     at = docs.columns.index("text")
-    return docs.mapInArrow(lean("decontaminate", run, _built.clear), docs.schema)
+    return map_rows(docs, lean("decontaminate", run, _built.clear), docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import BROADCAST_BYTES, cut, free_name, lean, quoted, small_batches
+from tessella.llm.common import BROADCAST_BYTES, cut, free_name, lean, map_rows, quoted, small_batches
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -217,7 +217,7 @@ class Mix:
         counted = counted.withColumn(copy, F.row_number().over(Window.partitionBy(key).orderBy(size)))
         takes = F.try_element_at(copies, F.col(copy))["takes"].alias(mine)
         placed_rows = counted.join(wanted.hint("merge"), key).select(*names, size, takes).where(F.col(mine).isNotNull())
-        return placed_rows.mapInArrow(lean("mixing", _texts(docs.columns)), docs.schema)
+        return map_rows(placed_rows, lean("mixing", _texts(docs.columns)), docs.schema)
 
 
 def _key(doc_id: str | Column, source: str, digest: str | Column) -> Column:
@@ -261,6 +261,6 @@ def _texts(names: list[str]):
             columns = [pa.array(texts, pa.string()) if k == text_at else batch.column(k).take(place) for k in range(len(names))]
             if chars_at is not None:
                 columns[chars_at] = pa.array([len(t) for t in texts], pa.int64()).cast(batch.column(chars_at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(len(names))])
 
     return run
