@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import lean, small_batches
+from tessella.llm.common import lean, small_batches, trim
 from tessella.llm.shingles import power_tables, span_hashes
 
 END_ID = 1
-MEMO = 400_000
+MEMO = 200_000
 BATCH = 1 << 20
 #: Documents aimed at for a part; the parts from which on parts grow instead, since the driver holds a row for each.
 PART_DOCS, MOST_PARTS = 16_384, 65_536
@@ -73,17 +73,18 @@ class Encoder:
         size = max(end_id, *vocabulary.values()) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        made = json.loads(Path(path).read_text())
+        parts = [json.loads(x.__getstate__()) if x else None for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
         #: Whether runs between white space may be encoded apart.
-        self.apart = (made.get("normalizer"), made.get("pre_tokenizer"), made.get("model", {}).get("end_of_word_suffix")) == KNOWN
+        self.apart = (*parts, getattr(self.tokenizer.model, "end_of_word_suffix", None)) == KNOWN
         #: Ids that end a pre-token.
         self.last = np.zeros(size, bool)
         for token, k in vocabulary.items():
             self.last[k] = token.endswith("</w>")
+        del vocabulary
+        trim()
         # Remembered runs: sorted hashes, where their ids are in flat, and where their bytes are in raw.
         self.keys = np.zeros(0, np.uint64)
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.raw_at, self.raw_size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.at, self.size, self.raw_at, self.raw_size = (np.zeros(0, np.int32) for _ in range(4))
         self.flat, self.raw = np.zeros(0, self.dtype), np.zeros(0, np.uint8)
 
     def ids(self, text: str) -> list[int]:
@@ -112,7 +113,7 @@ class Encoder:
         place[place == len(self.keys)] = 0
         hit = self.keys[place] == hashes if len(self.keys) else np.zeros(len(hashes), bool)
         old = place[hit]
-        if not same_runs(buffer, starts[hit], ends[hit] - starts[hit], self.raw, self.raw_at[old], self.raw_size[old]):
+        if not same_runs(buffer, starts[hit], ends[hit] - starts[hit], self.raw, self.raw_at[old].astype(np.int64), self.raw_size[old].astype(np.int64)):
             return None
         new = np.flatnonzero(~hit)
         joined = buffer.tobytes()
@@ -135,7 +136,7 @@ class Encoder:
             keys = np.concatenate([self.keys, hashes[new]])
             order = np.argsort(keys, kind="stable")
             self.keys = keys[order]
-            self.at, self.size, self.raw_at, self.raw_size = (np.concatenate(pair)[order] for pair in grown)
+            self.at, self.size, self.raw_at, self.raw_size = (np.concatenate([old, new.astype(np.int32)])[order] for old, new in grown)
             self.flat, self.raw = both, np.concatenate([self.raw, np.frombuffer(b"".join(runs), np.uint8)])
         return at, size, both
 

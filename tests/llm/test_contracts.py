@@ -283,7 +283,24 @@ def test_encoder_matches_whole_texts():
     for memo in (10**6, 3):
         token_files.MEMO = memo
         assert [np.frombuffer(x, "<u2").tolist() for x in made.encode(texts)] == [[*made.ids(t), 1] for t in texts]
-    token_files.MEMO = 400_000
+    token_files.MEMO = 200_000
+
+
+def test_encoder_collisions_and_other_tokenizers(monkeypatch, tmp_path):
+    """Runs that share a hash, in a batch or with a remembered one, and a tokenizer of another kind: texts are encoded as they are."""
+    texts = ["one two three one", "four two", "", "one five, six. one"]
+    made = token_files.Encoder(queries.tokenizer_path(), 1)
+    assert made.apart
+    want = [[*made.ids(t), 1] for t in texts]
+    ids = lambda e, ts: [np.frombuffer(x, e.dtype).tolist() for x in e.encode(ts)]
+    real = token_files.span_hashes
+    monkeypatch.setattr(token_files, "span_hashes", lambda b, s, e: real(b, s, e) % np.uint64(3))
+    assert ids(made, texts) == want
+    monkeypatch.setattr(token_files, "span_hashes", lambda b, s, e: (e - s).astype(np.uint64))
+    assert [ids(made, [t])[0] for t in ("abc", "abd", "abc")] == [[*made.ids(t), 1] for t in ("abc", "abd", "abc")]
+    monkeypatch.undo()
+    other = token_files.Encoder(queries.tokenizer_path("byte_bpe_50k.json"), 1)
+    assert not other.apart and ids(other, texts) == [[*other.ids(t), 1] for t in texts]
 
 
 def test_mixing(spark, docs):
