@@ -87,16 +87,16 @@ def triad(results: DataFrame, embed: Callable[[Column], Column], judge: Callable
     """(qid, context_relevance, faithfulness, answer_relevance) from (qid, question, answer, contexts, reference): the mean cosine of
     the question with the contexts; the judge's figure, or the mean cosine of the answer with the first three contexts; the cosine
     of answer and reference. `missing` is what stands where there is nothing to compare: zeros in a report, (0, 0.5, 0.5) in a search."""
-    flat = results.select("qid", F.posexplode_outer("contexts").alias("at", "text"), embed(F.col("question")).alias("q"), embed(F.col("answer")).alias("a"))
-    vector = embed(F.col("text"))
-    sims = flat.select("qid", "at", cosine(F.col("q"), vector).alias("cq"), cosine(F.col("a"), vector).alias("ca")).where("at IS NOT NULL")
-    means = sims.groupBy("qid").agg(F.avg("cq").alias("cr"), F.avg(F.when(F.col("at") < 3, F.col("ca"))).alias("fa"))
     answered, known = X.strip(F.col("answer")) != "", X.strip(F.col("reference")) != ""
-    rows = results.join(means, "qid", "left").withColumn("ar", F.when(answered & known, cosine(embed(F.col("answer")), embed(F.col("reference")))))
-    faith = F.when(answered, F.col("fa"))
+    flat = results.select("qid", "question", "answer", "reference", F.size("contexts").alias("n"), F.posexplode_outer("contexts").alias("at", "text"))
+    embedded = flat.select("qid", "at", "n", answered.alias("answered"), (answered & known).alias("both"), *[embed(F.col(c)).alias(f"v{k}") for k, c in enumerate(("question", "answer", "reference", "text"))])
+    there = F.col("at").isNotNull()
+    sims = embedded.select("qid", "at", "n", "answered", F.when(there, cosine(F.col("v0"), F.col("v3"))).alias("cr"), F.when(there & F.col("answered") & (F.col("at") < 3), cosine(F.col("v1"), F.col("v3"))).alias("fa"), F.when(F.col("both"), cosine(F.col("v1"), F.col("v2"))).alias("ar"))
+    rows = sims.groupBy("qid").agg(F.avg("cr").alias("cr"), F.avg("fa").alias("fa"), F.first("ar").alias("ar"), F.first("n").alias("n"))
+    faith = F.col("fa")
     if judge:
         rows = rows.join(judged(results, judge).withColumnRenamed("faithfulness", "judged"), "qid", "left")
-        faith = F.when(F.size("contexts") > 0, F.col("judged"))
+        faith = F.when(F.col("n") > 0, F.col("judged"))
     fill = lambda c, k: F.coalesce(c, F.lit(missing[k]))
     return rows.select("qid", fill(F.col("cr"), 0).alias("context_relevance"), fill(faith, 1).alias("faithfulness"), fill(F.col("ar"), 2).alias("answer_relevance"))
 

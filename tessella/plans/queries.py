@@ -63,8 +63,9 @@ def vector_mean_similarity(spark, d):
 
 
 def two_lists(spark: SparkSession, d: str, k: int = 30) -> tuple[DataFrame, DataFrame]:
-    """A BM25 list and a list by shared distinct words, over the same questions."""
-    return lexical(spark, d, k), bm25.shared_terms(read(spark, d, "documents"), asked(spark, d), k)
+    """A BM25 list and a list by shared distinct words, over the same questions. Both hold k rows a question, and plans read
+    them several times."""
+    return lexical(spark, d, k).persist(), bm25.shared_terms(read(spark, d, "documents"), asked(spark, d), k).persist()
 
 
 def _fused(spark, d, s):
@@ -477,8 +478,8 @@ def ask_answers(spark, d):
 def rag_triad(spark, d):
     """V19 by hashed words; every second question has a reference."""
     known = asked(spark, d).where("qid % 2 = 0").select(F.col("text").alias("question"), F.concat_ws(" ", "text", "text").alias("reference"))
-    made = asked_and_answered(spark, d)
-    results = ask.referenced(made.select("qid", "question"), known).join(made.drop("question"), "qid")
+    questions = asked(spark, d).select("qid", F.col("text").alias("question"))
+    results = asked_and_answered(spark, d).drop("question").join(ask.referenced(questions, known), "qid")
     out = ask.triad(results, vectors.hashed)
     return out.select("qid", *[F.round(c, 6).alias(c) for c in ("context_relevance", "faithfulness", "answer_relevance")])
 
