@@ -166,7 +166,7 @@ g AS (SELECT doc_id, trim(string_agg(concat('<<<PAGE:', page, '>>>', chr(10), te
 SELECT concat('doc_', doc_id, '-a') AS doc_id, concat('doc_', doc_id, '-a.pdf') AS source, CASE WHEN length(trim(head)) > 20 AND length(trim(head)) < 200 THEN substr(trim(head), 1, 180) ELSE concat('doc ', doc_id, ' a') END AS title, extraction, md5(t) AS digest FROM g WHERE t IS NOT NULL""",
     "qa_merge": f"""WITH p AS ({_PAIRS.format(1, 1)}), r AS (SELECT conv_id, turn, conv_id * 100 + turn AS line, {_TIDY.format('substr(question, 1, 300)')} AS q, {_TIDY.format('substr(answer, 1, 300)')} AS a, CASE WHEN conv_id % 3 = 0 THEN concat('https://x.org/a/questions/', turn, '/', conv_id) ELSE '' END AS url FROM p WHERE conv_id % 7 > 0),
 c AS (SELECT *, concat('Вопрос: ', q, chr(10), chr(10), 'Ответ: ', a) AS t, CASE WHEN url = '' THEN line::VARCHAR ELSE concat(turn, '_', conv_id) END AS qa_id FROM r WHERE q <> '' AND a <> '')
-SELECT concat('qa_gge_', qa_id, '_1') AS chunk_id, t AS text, url AS source, CASE WHEN length(q) > 200 THEN concat(substr(q, 1, 200), '…') ELSE q END AS title, qa_id, line AS line_num, 1 AS part_number, 1 AS total_parts FROM c WHERE length(t) >= 100""",
+SELECT concat('qa_site_', qa_id, '_1') AS chunk_id, t AS text, url AS source, CASE WHEN length(q) > 200 THEN concat(substr(q, 1, 200), '…') ELSE q END AS title, qa_id, line AS line_num, 1 AS part_number, 1 AS total_parts FROM c WHERE length(t) >= 100""",
     "qa_counts": f"SELECT role AS file, count(*) AS total, count(*) FILTER (turn % 4 <> 3 AND role <> 'user' AND {_TIDY.format('text')} <> '') AS usable, count(*) FILTER (NOT (turn % 4 <> 3 AND role <> 'user' AND {_TIDY.format('text')} <> '')) AS skipped FROM conversations GROUP BY role",
     "unseen_urls": f"WITH p AS (SELECT page_id, {_URL.format('url')} AS url FROM pages) SELECT page_id, url FROM p WHERE url NOT IN (SELECT url FROM p WHERE page_id % 3 = 0)",
     "training_pairs": f"""WITH p AS ({_PAIRS.format(1, 1)}), r AS (SELECT conv_id % 2 AS f, turn % 2 = 0 AS joined, question AS q, answer AS a FROM p),

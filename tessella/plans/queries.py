@@ -386,7 +386,7 @@ def qa_merge(spark, d):
     value = F.when(F.col("conv_id") % 7 == 0, F.lit("[1]")).otherwise(F.to_json(F.struct(F.substring("question", 1, 300).alias("question"), F.substring("answer", 1, 300).alias("answer"), url.alias("source"))))
     lines = pairs.select(F.lit("f").alias("file"), (F.col("conv_id") * 100 + F.col("turn")).alias("line"), value.alias("value"))
     records = readers.qa_records(lines, U.question_id)
-    return readers.qa_chunks(records, "gge").select("chunk_id", "text", "source", "title", "qa_id", "line_num", "part_number", "total_parts")
+    return readers.qa_chunks(records, "site").select("chunk_id", "text", "source", "title", "qa_id", "line_num", "part_number", "total_parts")
 
 
 @query
