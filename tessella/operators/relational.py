@@ -42,3 +42,9 @@ def split_by_hash(df: DataFrame, keys: Sequence[str], share: float = 0.9, seed:
     """A column is_train that holds for about `share` of the rows, by key."""
     bucket = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), 1, 4), 16, 10).cast("int")
     return df.withColumn("is_train", bucket < int(share * 65536))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a scan of fewer splits than there are cores, dealt out to all of them; others stay where they are."""
+    n = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(n) if rows.rdd.getNumPartitions() < n else rows
