@@ -41,6 +41,8 @@ MEMO = 200_000
 BATCH = 1 << 20
 #: Documents aimed at for a part; the parts from which on parts grow instead, since the driver holds a row for each.
 PART_DOCS, MOST_PARTS = 16_384, 65_536
+#: Parts that one task reads, where there are more parts than cores.
+PARTS_PER_TASK = 8
 #: Sampled rows for each bound between parts.
 BOUND_ROWS = 16
 #: Normaliser, pre-tokeniser and suffix under which runs between ASCII white space are encoded apart from each other.
@@ -332,7 +334,9 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the memory-mapped files."""
     index = json.loads(Path(folder, "index.json").read_text())
     parts = spark.createDataFrame([(p["part"], p["docs"], p["nulls"], p["base"]) for p in index["parts"]], "part long, docs long, nulls long, base long")
-    spread = parts.repartition(max(1, min(len(index["parts"]), 1024)), "part")
+    # A part is read in well under a second: a task takes several, unless there are cores for all.
+    n = len(index["parts"])
+    spread = parts.repartition(max(1, min(n, max(spark.sparkContext.defaultParallelism, n // PARTS_PER_TASK))), "part")
     return spread.mapInArrow(lean("tokens", _read(folder, index["dtype"]), forget), ROWS)
 
 
