@@ -186,5 +186,7 @@ def toxicity(docs: DataFrame, chain: Chain) -> DataFrame:
     return rows.mapInArrow(lean("toxicity", _predict(chain), power_tables.clear), "doc_id long, " + ", ".join(f"{n} double" for n in chain.names))
 
 
-def is_toxic(threshold: float = 0.5) -> Column:
+def is_toxic(threshold: float = 0.3) -> Column:
+    """Toxic documents are the lesser class, whose probabilities err low: trained on three quarters of the labels of sf0.1, 0.3 finds 114
+    of the 119 toxic documents of the last quarter and one clean one, 0.5 finds 105 and none."""
     return F.col(list(CATEGORIES)[-1]) >= threshold
