@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from string import ascii_letters
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from tessella.functions import official as O
 
 NBSP = " "
+#: What `(?U)\\s` matches.
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 CODE = r"(?U)\b\d{2}-\d{2}-\d{3}-\d{2}\b"
 #: The letters that the quality figures count.
 LETTERS = r"[A-Za-zА-Яа-яЁё]"
@@ -17,7 +20,17 @@ LETTERS = r"[A-Za-zА-Яа-яЁё]"
 
 def strip(c: Column) -> Column:
     """Unicode white space off both ends; null becomes empty."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.btrim(F.coalesce(c, F.lit("")), F.lit(WHITE))
+
+
+#: First characters of patterns, and all that match them in any case.
+FIRST = {c: c for c in "№©—"} | {c: c + c.swapcase() + {"k": "\u212a", "s": "\u017f"}.get(c.lower(), "") for c in ascii_letters} | {chr(n): "\u0400-\u045f\u1c80-\u1c88" for n in range(0x410, 0x450)}
+
+
+def guarded(patterns: Sequence[str]) -> str:
+    """The alternatives as one pattern, tried only where one of their first characters may stand, if all of them begin with a character as such."""
+    plain = all(p and p[0] in FIRST and "|" not in p and p[1:2] not in ("*", "?", "{") for p in patterns)
+    return (f"(?=(?-iuU:[{''.join(sorted({FIRST[p[0]] for p in patterns}))}]))" if plain else "") + f"(?:{'|'.join(patterns)})"
 
 
 def first_nonempty(*cs: Column) -> Column:
@@ -44,8 +57,8 @@ def clean_page(c: Column, footers: Sequence[str] = O.FOOTERS, artifacts: tuple[s
     out = F.translate(F.coalesce(c, F.lit("")), "\r" + NBSP, "  ")
     out = F.regexp_replace(out, f"{O.FLAGS}{artifacts[0]}", artifacts[1])
     if footers:
-        out = F.regexp_replace(out, f"{O.FLAGS}(?d){'|'.join(footers)}", "")
-    out = F.regexp_replace(out, r"(?U)(\w)-\s*\n\s*(\w)", "$1$2")
+        out = F.regexp_replace(out, f"{O.FLAGS}(?d){guarded(footers)}", "")
+    out = F.regexp_replace(out, r"(?Us)(?=.-)(\w)-\s*\n\s*(\w)", "$1$2")
     out = F.regexp_replace(out, r"\n{3,}", "\n\n")
     return strip(F.regexp_replace(out, r"[ \t]+", " "))
 
@@ -58,7 +71,7 @@ def drop_notes(c: Column, notes: str = O.NOTES, footers: Sequence[str] = O.FOOTE
 def drop_stamps(c: Column, stamps: str = O.STAMPS) -> Column:
     """lines that hold a stamp and blank lines go."""
     lines = F.split(F.coalesce(c, F.lit("")), "\r\n|[\n\r\x0b\f\x1c-\x1e\x85\u2028\u2029]", -1)
-    return strip(F.array_join(F.filter(lines, lambda x: (strip(x) != "") & ~x.rlike(f"{O.FLAGS}{stamps}")), "\n"))
+    return strip(F.array_join(F.filter(lines, lambda x: (strip(x) != "") & ~x.rlike(f"{O.FLAGS}{guarded(stamps.split('|')) if '(' not in stamps else stamps}")), "\n"))
 
 
 def quality(c: Column) -> Column:
