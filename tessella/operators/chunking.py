@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from tessella.functions import text as X
+from tessella.operators.relational import small_batches
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
@@ -86,7 +87,7 @@ def merge_split(docs: DataFrame, size: int = 1500, overlap: int = 300, least: in
         return texts.map(lambda t: tidy_chunks(t, size, overlap) or [t])
 
     # Only long texts meet Python.
-    clean = docs.select("doc_id", X.clean_text(F.col("text")).alias("text")).where("text <> ''")
+    clean = small_batches(docs).select("doc_id", X.clean_text(F.col("text")).alias("text")).where("text <> ''")
     long = F.length("text") > 2 * size
     several = clean.where(long).select("doc_id", split("text").alias("chunks"))
     parts = several.unionByName(clean.where(~long).select("doc_id", F.array("text").alias("chunks")))

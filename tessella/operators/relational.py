@@ -44,6 +44,26 @@ def split_by_hash(df: DataFrame, keys: Sequence[str], share: float = 0.9, seed:
     return df.withColumn("is_train", bucket < int(share * 65536))
 
 
+#: Rows of an Arrow batch: a batch of texts is held several times over by its worker.
+ARROW_ROWS = 256
+#: Rows of ids that may be broadcast.
+FEW = 1 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, in whose session Arrow batches have at most ARROW_ROWS rows from now on, as Spark bounds them by rows only."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= ARROW_ROWS:
+        conf.set(name, str(ARROW_ROWS))
+    return df
+
+
+def matching(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is in `wanted`. Where its keys are few, by count, they travel to the rows, which stay where they are."""
+    keys = wanted.select(key).distinct().persist()
+    return rows.join(F.broadcast(keys) if keys.count() <= FEW else keys, key, "left_semi")
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """Rows of a scan of fewer splits than there are cores, dealt out to all of them; others stay where they are."""
     n = rows.sparkSession.sparkContext.defaultParallelism
