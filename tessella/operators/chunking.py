@@ -74,7 +74,7 @@ def recursive_chunks(docs: DataFrame, size: int = 1500, overlap: int = 300) -> D
     def split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: tidy_chunks(t, size, overlap))
 
-    parts = docs.select("doc_id", split("text").alias("chunks"))
+    parts = small_batches(docs).select("doc_id", split("text").alias("chunks"))
     return parts.select("doc_id", F.size("chunks").alias("total_parts"), F.posexplode("chunks").alias("part", "chunk")).withColumn("part", F.col("part") + 1)
 
 
@@ -149,4 +149,4 @@ def sentence_chunks(docs: DataFrame, most: int = 1500) -> DataFrame:
     def split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: force_split(t, most) if t else [])
 
-    return docs.select("doc_id", F.posexplode(split("text")).alias("part", "chunk"))
+    return small_batches(docs).select("doc_id", F.posexplode(split("text")).alias("part", "chunk"))
