@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import official as O
 from tessella.operators.chunking import force_split, merge_small
+from tessella.operators.relational import small_batches
 
 NUMBER = r"\d+(?:\.\d+){0,3}"
 CLAUSE = re.compile(rf"(?:^|\n)\s*({NUMBER})\.\s+")
@@ -107,7 +108,7 @@ def clause_chunks(docs: DataFrame, least: int = 50) -> DataFrame:
             rows = [r for d, t in zip(frame["doc_id"], frame["text"], strict=True) for r in clause_rows(t, str(d), least) if len(r[-1]) >= least]
             yield pd.DataFrame(rows, columns=names)
 
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
+    return small_batches(docs).select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
 
 
 def reassembled(parts: DataFrame) -> DataFrame:
