@@ -12,23 +12,30 @@ from tessella.functions import text as X
 from tessella.operators.relational import first_wins
 
 SEPARATOR = "\n\n---\n\n"
+#: Parts into which the rows of a group are cut.
+PARTS = 64
 
 
 def packed(rows: DataFrame, limit: int = 12_000, counted: int = 5) -> DataFrame:
     """Rows (qid, rank, block) until the running length, `counted` characters for each separator from the second block
     on, exceeds the limit. Blank blocks don't count. The separator has seven characters though five are counted (trap Q6); counted=7 holds
-    the limit exactly."""
+    the limit exactly.
+
+    Parts of a group are cut first, each where it is, behind its first row that exceeds the limit: that row does so among all rows too, and so does whatever follows it."""
     order = Window.partitionBy("qid").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     blocks = rows.withColumn("block", X.strip(F.col("block"))).where("block <> ''")
-    return blocks.withColumn("running", F.sum(F.length("block") + counted).over(order) - counted).where(F.col("running") <= limit)
+    part = Window.partitionBy("qid", "_part").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    first = blocks.withColumn("_part", F.pmod(F.xxhash64("rank"), F.lit(PARTS)))
+    running = lambda over: F.sum(F.length("block").cast("long") + counted).over(over) - counted
+    return first.withColumn("_running", running(part) - F.length("block") - counted).where(F.col("_running") <= limit).drop("_part", "_running").withColumn("running", running(order)).where(F.col("running") <= limit)
 
 
 def contexts(rows: DataFrame, limit: int = 12_000) -> DataFrame:
     """W02 alone: (qid, context, blocks) of whole blocks. A group whose first block overflows, or without any, has an empty context."""
     got = packed(rows, limit).groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("rank", "block"))).alias("b"))
     every = rows.select("qid").distinct().join(got, "qid", "left")
-    blocks = F.coalesce("b", F.array().cast("array<struct<rank:int,block:string>>"))
-    return every.select("qid", F.array_join(F.transform(blocks, lambda x: x["block"]), SEPARATOR).alias("context"), F.size(blocks).alias("blocks"))
+    blocks = F.coalesce(F.transform("b", lambda x: x["block"]), F.array().cast("array<string>"))
+    return every.select("qid", F.array_join(blocks, SEPARATOR).alias("context"), F.size(blocks).alias("blocks"))
 
 
 def headed(text: Column, code: Column, title: Column, source: Column, cap: int = 5_000) -> Column:
