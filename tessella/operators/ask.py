@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessella.functions import text as X
 from tessella.operators import context as C
 from tessella.operators import fusion
+from tessella.operators.relational import matching
 from tessella.operators.vectors import cosine
 
 #: Kinds of rerankers by what their names hold, in this order; anything else is a cross encoder.
@@ -53,10 +54,11 @@ def referenced(questions: DataFrame, references: DataFrame, default: str = "не
 def ask(questions: DataFrame, lexical: DataFrame, vector: DataFrame, chunks: DataFrame, scorer: Callable[[DataFrame], DataFrame], s: fusion.Settings, generate: Callable[[Column], Column] = C.extractive, limit: int = 12_000, per_doc_cap: int = 5_000) -> DataFrame:
     """One row for each question (qid, question): answer, sources, docs_count, contexts and meta.
 
-    chunks holds doc_id, text and the metadata work_code, title, source, clause, page. Questions with a known code take the exact route (V09)."""
-    found = fusion.hybrid(lexical, vector, scorer, s).select("qid", "doc_id", F.col("rr_rank").alias("rank"), "rr_score")
-    routed = fusion.exact_route(questions.select("qid", F.col("question").alias("text")), chunks.select("doc_id", F.col("work_code").alias("code")), found, s.final_k)
-    rows = routed.join(chunks, "doc_id").join(found.select("qid", "doc_id", "rr_score"), ["qid", "doc_id"], "left")
+    chunks holds doc_id, text and the metadata work_code, title, source, clause, page. Questions with a known code take the exact route (V09).
+    Found documents, final_k a question, are persisted; texts of no others move."""
+    found = fusion.hybrid(lexical, vector, scorer, s).select("qid", "doc_id", F.col("rr_rank").alias("rank"), "rr_score").persist()
+    routed = fusion.exact_route(questions.select("qid", F.col("question").alias("text")), chunks.select("doc_id", F.col("work_code").alias("code")), found, s.final_k).persist()
+    rows = routed.join(matching(chunks, routed, "doc_id"), "doc_id").join(found.select("qid", "doc_id", "rr_score"), ["qid", "doc_id"], "left")
     built = C.docs_to_context(rows, limit, per_doc_cap).select("qid", "context")
     sources = C.collected(rows)
     order = F.sort_array(F.collect_list(F.struct("rank", "text", "rr_score", "route")))
